@@ -1 +1,8 @@
 """Mobility analytics as Spark jobs: operators, builders, queries, reports, models."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

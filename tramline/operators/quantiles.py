@@ -49,10 +49,7 @@ def exact_quantiles(
         F.filter(wanted, lambda i: (i >= F.col("__before")) & (i < F.col("__before") + F.col("__m"))),
     ).filter(F.size("__wanted") > 0)
 
-    on = [counted[c].eqNullSafe(targets[c]) for c in [*by, "__b"]]
-    narrowed = counted.join(targets, on).select(
-        *(counted[c] for c in [*by, "__b"]), "__v", "__n", "__before", "__size", "__wanted"
-    )
+    narrowed = _join_null_safe(counted, targets.drop("__m"), [*by, "__b"], "inner")
     w = Window.partitionBy(*by, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     through = narrowed.withColumn("__through", F.sum("__n").over(w) + F.col("__before"))
     hits = through.select(
@@ -99,8 +96,11 @@ def describe(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         return moments.withColumn("q", row).select(
             "*", *(F.col(f"q.{c}").alias(c) for c in ("q25", "q50", "q75"))
         ).select(*order)
-    on = [moments[c].eqNullSafe(quartiles[c]) for c in by]
-    joined = moments.join(quartiles, on, "left").select(
-        *(moments[c] for c in moments.columns), "q25", "q50", "q75"
-    )
-    return joined.select(*order)
+    return _join_null_safe(moments, quartiles, by, "left").select(*order)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equality join on equally named keys where NULL meets NULL."""
+    other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return left.join(other, on, how).drop(*(f"__r_{k}" for k in keys))
