@@ -13,7 +13,7 @@ from tramline.session import get_session  # noqa: E402
 if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.001"
     wanted = sys.argv[2:]
-    spark = get_session("catalog", "local[8]", **{"spark_sql_shuffle_partitions": "8", "spark_ui_enabled": "false"})
+    spark = get_session("catalog", "local[8]", **{"spark_sql_shuffle_partitions": "8", "spark_ui_enabled": "false", "spark_ui_showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     folder = f"{TESTDATA}/{sf}"
     con = connect(folder)

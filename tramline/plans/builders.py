@@ -288,11 +288,11 @@ def dim_worker(
     fresh = _unseen(rows, existing, ["response_id"])
     inside = fresh.withColumns(
         {
-            "__la": F.when(geo.in_box(F.col("latitude"), F.col("longitude")), F.col("latitude")),
-            "__lo": F.when(geo.in_box(F.col("latitude"), F.col("longitude")), F.col("longitude")),
+            "box_lat": F.when(geo.in_box(F.col("latitude"), F.col("longitude")), F.col("latitude")),
+            "box_lon": F.when(geo.in_box(F.col("latitude"), F.col("longitude")), F.col("longitude")),
         }
     )
-    linked = link_locations(inside, geocodes, locations, "__la", "__lo", None).drop("__la", "__lo")
+    linked = link_locations(inside, geocodes, locations, "box_lat", "box_lon", None).drop("box_lat", "box_lon")
     rescaled = reshape.rescale_numeric(linked.select(*fresh.columns, "location_key"), 4, 10)
     rescaled = rescaled.withColumn("location_key", (F.col("location_key") * 10).cast("int"))
     decoded = reshape.decode_labels(rescaled, labels, schemas.WORKER_LABELS)
@@ -368,14 +368,14 @@ def fact_bike_gauge(
     )
     rows = joins.lookup(rows, in_use, {"bike_station_key": "id"}, {"bikes_in_use": "bikes_in_use"})
     rows = joins.lookup(
-        rows, bike_stations, {"bike_station_key": "bike_station_key"}, {"__la": "latitude", "__lo": "longitude"}, "inner"
+        rows, bike_stations, {"bike_station_key": "bike_station_key"}, {"at_lat": "latitude", "at_lon": "longitude"}, "inner"
     )
     moment = F.lit(as_of).cast("timestamp_ntz")
     stamped = rows.withColumns({"date_key": keys.date_key(moment), "time_key": keys.time_key(moment)})
     linked = spatial.nearest(
-        stamped, rail_stations, metres, ("__la", "__lo"), ("latitude", "longitude"), "station_key", "linked_station_key"
+        stamped, rail_stations, metres, ("at_lat", "at_lon"), ("latitude", "longitude"), "station_key", "linked_station_key"
     )
-    return linked.drop("__la", "__lo")
+    return linked.drop("at_lat", "at_lon")
 
 
 def fact_counts(counts: DataFrame, points: DataFrame) -> DataFrame:
