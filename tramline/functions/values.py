@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import chain
 from typing import Any
 
@@ -13,6 +14,11 @@ def _literal_map(mapping: dict[Any, Any]) -> Column:
     return F.create_map(*(F.lit(x) for x in chain.from_iterable(mapping.items())))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def map_values(value: Column, mapping: dict[Any, Any]) -> Column:
     """Dictionary lookup; a value outside the dictionary becomes NULL."""
     return F.try_element_at(_literal_map(mapping), value)

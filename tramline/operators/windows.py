@@ -50,12 +50,15 @@ def lagged(
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
     sources = list(dict.fromkeys(columns.values()))
-    previous = F.lag("tail").over(Window.partitionBy(*keys).orderBy(*split))
+    # One max_by per column on a plain order column keeps the buffers fixed-width, so the
+    # bucket summary is a hash aggregate; a struct would force a sort of the whole input.
+    moment = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    in_order = Window.partitionBy(*keys).orderBy(*split)
     carry = _scan(
         df, keys, split,
-        {"tail": F.max_by(F.struct(*sources), F.struct(*order))},
-        {"tail": previous},
-    ).select(*keys, *split, *(F.col(f"tail.{c}").alias(c) for c in sources))
+        {c: F.max_by(c, moment) for c in sources},
+        {c: F.lag(c).over(in_order) for c in sources},
+    )
     w = _inside(keys, split, order)
     out = _with_carry(df, carry).withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
     return out.filter(~F.col(_CARRY)).drop(_CARRY)

@@ -19,7 +19,9 @@ FIELDS = {
     "return_trips": r"Totaal aantal dagen heen-en-terug:\s*(\d+)",
     "departure": r"Vertrekplaats:\s*(.*)",
 }
-DAY_LINE = r"(?U)(\w+)\s+(\d+)\s+(\w+)\s+(\d{4}):\s+(.*)"
+# '<weekday> <day> <month> <year>: <kind>'. The possessive parts cannot match differently, as each
+# is followed by another character class; they spare the back-tracking over long texts.
+DAY_LINE = r"(?U)(?<!\w)(\w++)\s++(\d++)\s++(\w++)\s++(\d{4}):\s++(.*)"
 MAX_DISTANCE_KM = 30
 
 # Dutch month names as written in day lines.
@@ -30,36 +32,34 @@ _MONTHS = [
 
 
 def extract_mails(mails: DataFrame, body: str) -> DataFrame:
-    """Fields and day lines of every mail that has all fields; others are dropped."""
-    found = {f: F.regexp_extract(F.col(body), p, 1) for f, p in FIELDS.items()}
-    parsed = mails.withColumns({f: F.trim(c) for f, c in found.items()})
-    complete = F.lit(True)
-    for f, p in FIELDS.items():
-        complete = complete & F.rlike(F.col(body), F.lit(p))
-    parsed = parsed.filter(complete).withColumns(
-        {
-            "distance": F.replace(F.col("distance"), F.lit(","), F.lit(".")).cast("double"),
-            "single_trips": F.col("single_trips").cast("int"),
-            "return_trips": F.col("return_trips").cast("int"),
-            "period_short": short_period(F.col("period")),
-        }
+    """Fields and day lines of every mail that has all fields; others are dropped.
+
+    Each pattern scans a text once and gives its matched line; the value is cut out of that
+    line. The row is built inside a generator, which keeps the optimiser from evaluating the
+    scans a second time for the completeness filter.
+    """
+    # Without a match the line is empty and so is the value.
+    scans = [F.regexp_extract(F.col(body), p, 0).alias(f) for f, p in FIELDS.items()]
+    scans.append(F.regexp_extract_all(F.col(body), F.lit(DAY_LINE), F.lit(0)).alias("lines"))
+    whole = F.filter(F.array(F.struct(*scans)), lambda m: ~F.array_contains(F.array(*(m[f] for f in FIELDS)), ""))
+    found = mails.select("*", F.inline(whole))
+    value = {f: F.trim(F.regexp_extract(F.col(f), p, 1)) for f, p in FIELDS.items()}
+    value["distance"] = F.replace(value["distance"], F.lit(","), F.lit(".")).cast("double")
+    value["single_trips"] = value["single_trips"].cast("int")
+    value["return_trips"] = value["return_trips"].cast("int")
+    value["period_short"] = short_period(value["period"])
+    parsed = found.withColumns(value).filter(F.col("period_short").isNotNull())
+    return parsed.withColumn("days", F.transform("lines", _day)).drop("lines")
+
+
+def _day(line: Column) -> Column:
+    part = [F.regexp_extract(line, DAY_LINE, i) for i in range(6)]
+    return F.struct(
+        part[2].try_cast("int").alias("day"),
+        F.array_position(F.array(*map(F.lit, _MONTHS)), F.lower(part[3])).cast("int").alias("month"),
+        part[4].cast("int").alias("year"),
+        F.contains(F.lower(part[5]), F.lit("heen en terug")).alias("both_ways"),
     )
-    number = F.regexp_extract_all(F.col(body), F.lit(DAY_LINE), F.lit(2))
-    month = F.regexp_extract_all(F.col(body), F.lit(DAY_LINE), F.lit(3))
-    year = F.regexp_extract_all(F.col(body), F.lit(DAY_LINE), F.lit(4))
-    kind = F.regexp_extract_all(F.col(body), F.lit(DAY_LINE), F.lit(5))
-    return parsed.withColumn(
-        "days",
-        F.transform(
-            F.arrays_zip(number.alias("n"), month.alias("m"), year.alias("y"), kind.alias("k")),
-            lambda d: F.struct(
-                d["n"].cast("int").alias("day"),
-                F.array_position(F.array(*map(F.lit, _MONTHS)), F.lower(d["m"])).cast("int").alias("month"),
-                d["y"].cast("int").alias("year"),
-                F.contains(F.lower(d["k"]), F.lit("heen en terug")).alias("both_ways"),
-            ),
-        ),
-    ).filter(F.col("period_short").isNotNull())
 
 
 def accepted(mail: DataFrame) -> DataFrame:

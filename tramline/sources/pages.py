@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.text import clean_label, find_first, strip_tags
-from tramline.functions.values import empty_to_null
+from tramline.functions.values import empty_to_null, let
 
 _POINT = "struct<timestamp: string, traffic: struct<counts: int>>"
 _SERIES = f"array<struct<direction: string, directionName: string, data: array<{_POINT}>>>"
@@ -18,18 +18,24 @@ _SERIES = f"array<struct<direction: string, directionName: string, data: array<{
 def embedded_array(html: Column, key: str) -> Column:
     r"""Text from the '[' after ``key":`` to its matching ']', with \" unescaped.
 
-    The matching bracket is where the running count of brackets first returns to zero. Only
-    the bracket characters after the key are folded over, not the whole page.
+    The matching bracket is where the running count of brackets first returns to zero. The
+    text is cut at its closing brackets and only the pieces' opening brackets are counted.
     """
-    opening = F.regexp_instr(html, F.lit(rf'{key}\\?":\s*\['))
-    tail = F.when(opening > 0, F.substr(html, opening + F.lit(0)))
-    tail = F.substr(tail, F.instr(tail, "["))
-    # Pieces between closing brackets: depth after piece k = openings so far - k.
-    pieces = F.split(tail, r"\]")
+    start = F.regexp_instr(html, F.lit(rf'{key}\\?":\s*\['))
+    return let(F.when(start > 0, F.substr(html, start)), lambda tail: let(F.substr(tail, F.instr(tail, "[")), _balanced))
+
+
+def _balanced(tail: Column) -> Column:
+    return let(F.split(tail, r"\]"), _rejoin)
+
+
+def _rejoin(pieces: Column) -> Column:
+    """The pieces up to the one that closes the first bracket, joined again."""
     opens = F.transform(pieces, lambda p: F.length(p) - F.length(F.replace(p, F.lit("["), F.lit(""))))
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("taken"), F.lit(False).alias("done"))
 
     def step(acc: Column, opened: Column) -> Column:
+        # Depth after a piece: the openings so far minus its closing bracket.
         depth = acc["depth"] + opened - 1
         return F.struct(
             depth.alias("depth"),
@@ -37,9 +43,11 @@ def embedded_array(html: Column, key: str) -> Column:
             (acc["done"] | (depth == 0)).alias("done"),
         )
 
-    walked = F.aggregate(opens, start, step)
-    body = F.concat(F.array_join(F.slice(pieces, F.lit(1), walked["taken"]), "]"), F.lit("]"))
-    return F.when(walked["done"], F.replace(body, F.lit('\\"'), F.lit('"')))
+    def body(walked: Column) -> Column:
+        text = F.concat(F.array_join(F.slice(pieces, F.lit(1), walked["taken"]), "]"), F.lit("]"))
+        return F.when(walked["done"], F.replace(text, F.lit('\\"'), F.lit('"')))
+
+    return let(F.aggregate(opens, start, step), body)
 
 
 def _direction(series: Column, name: str) -> Column:
@@ -49,37 +57,24 @@ def _direction(series: Column, name: str) -> Column:
 def counter_series(pages: DataFrame, point: str, html: str) -> DataFrame:
     """Daily counts per page: in/out series zipped, or a single series counted as 'in'.
 
-    Output: point, day, direction_in, direction_out, total.
+    Output: point, day, direction_in, direction_out, total. Each page is parsed once.
     """
     two_way = F.from_json(embedded_array(F.col(html), "directionGraphData"), _SERIES)
     one_way = F.from_json(embedded_array(F.col(html), "chartData"), _SERIES)
     has_two = F.rlike(F.col(html), F.lit(r'directionGraphData\\?":\s*\['))
-    parsed = pages.select(
-        F.col(point), has_two.alias("__two"), F.when(has_two, two_way).otherwise(one_way).alias("__s")
-    )
-    into, out = _direction(F.col("__s"), "in"), _direction(F.col("__s"), "out")
-    length = F.least(F.size(into["data"]), F.size(out["data"]))
-    zipped = F.slice(F.arrays_zip(into["data"].alias("i"), out["data"].alias("o")), F.lit(1), F.greatest(length, F.lit(0)))
-    both = parsed.filter(F.col("__two") & into.isNotNull() & out.isNotNull()).select(
-        point, F.explode(zipped).alias("z")
-    )
-    both = both.select(
-        point,
-        F.split(F.col("z.i.timestamp"), "T")[0].alias("day"),
-        F.col("z.i.traffic.counts").alias("direction_in"),
-        F.col("z.o.traffic.counts").alias("direction_out"),
-    )
-    single = (
-        parsed.filter(~F.col("__two"))
-        .select(point, F.explode(F.flatten(F.transform("__s", lambda s: s["data"]))).alias("d"))
-        .select(
-            point,
-            F.split(F.col("d.timestamp"), "T")[0].alias("day"),
-            F.col("d.traffic.counts").alias("direction_in"),
-            F.lit(0).alias("direction_out"),
+
+    def zipped(series: Column) -> Column:
+        into, out = _direction(series, "in")["data"], _direction(series, "out")["data"]
+        pairs = F.slice(F.arrays_zip(into.alias("i"), out.alias("o")), F.lit(1), F.least(F.size(into), F.size(out)))
+        return F.when(
+            into.isNotNull() & out.isNotNull(), F.transform(pairs, lambda z: _count(z["i"], z["i"], z["o"]))
         )
-    )
-    return both.unionByName(single).select(
+
+    def single(series: Column) -> Column:
+        return F.transform(F.flatten(F.transform(series, lambda s: s["data"])), lambda d: _count(d, d, None))
+
+    counts = F.when(has_two, let(two_way, zipped)).otherwise(let(one_way, single))
+    return pages.select(point, F.inline(counts)).select(
         point,
         F.col("day").cast("date").alias("day"),
         "direction_in",
@@ -88,6 +83,14 @@ def counter_series(pages: DataFrame, point: str, html: str) -> DataFrame:
     )
 
 
+def _count(at: Column, into: Column, out: Column | None) -> Column:
+    return F.struct(
+        F.split(at["timestamp"], "T")[0].alias("day"),
+        into["traffic"]["counts"].alias("direction_in"),
+        (F.lit(0) if out is None else out["traffic"]["counts"]).alias("direction_out"),
+    )
+
+
 def direction_names(pages: DataFrame, point: str, html: str) -> DataFrame:
     """Names of the two directions; a one-way page uses its title for the first."""
     series = F.from_json(embedded_array(F.col(html), "directionGraphData"), _SERIES)

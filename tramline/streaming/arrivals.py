@@ -67,8 +67,12 @@ def promote(
     )
     # The promoted windows are at most the half-hours of the batch's time span: one array cell.
     windows = ready.select(F.collect_set("window_start")).scalar()
-    scaffold = stations.select("station_key").distinct().select(
-        "station_key", F.explode(windows).alias("window_start")
+    # A fixed partition count keeps AQE from packing the few stations into one task before
+    # each of them is multiplied by the windows.
+    spread = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scaffold = (
+        stations.select("station_key").repartition(spread, "station_key").distinct()
+        .select("station_key", F.explode(windows).alias("window_start"))
     )
     filled = scaffold.join(counts, ["station_key", "window_start"], "left")
     end = F.col("window_start") + F.expr(f"interval {minutes} minutes")
