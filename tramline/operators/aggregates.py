@@ -50,9 +50,10 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     edges = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     placed = df.filter(F.col(value).isNotNull()).withColumn("__e", edges)
     width = (F.col("__e.hi") - F.col("__e.lo")) / bins
-    index = F.least(F.floor((F.col(value) - F.col("__e.lo")) / F.nullifzero(width)), F.lit(bins - 1))
+    # All values equal: the width is 0 and everything falls into the first bin.
+    steps = F.coalesce(F.floor((F.col(value) - F.col("__e.lo")) / F.nullifzero(width)), F.lit(0))
     return (
-        placed.groupBy(F.coalesce(index, F.lit(0)).cast("int").alias("bin"))
+        placed.groupBy(F.least(steps, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), F.first("__e").alias("__e"))
         .select(
             "bin",

@@ -118,8 +118,8 @@ def grow_forest(df: DataFrame, id_column: str, features: Names, trees: int = 100
     """Random split trees as node rows; at most trees * (2 * sample - 1) rows."""
     features = list(features)
 
-    def grow(key, rows: pd.DataFrame) -> pd.DataFrame:
-        tree = int(key[0])
+    def grow(rows: pd.DataFrame) -> pd.DataFrame:
+        tree = int(rows["tree"].iloc[0])
         x = rows.sort_values(id_column)[features].to_numpy(float)
         rng = np.random.default_rng([seed, tree])
         limit = math.ceil(math.log2(max(len(x), 2)))

@@ -32,9 +32,8 @@ def read_optional(spark: SparkSession, path: str, schema: str | StructType, sep:
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """Value-label dictionary {"value_labels": {set: {code: label}}} as (label_set, code, label)."""
-    whole = spark.read.option("wholetext", True).text(path)
-    parsed = F.from_json("value", "value_labels map<string, map<string, string>>")
-    sets = whole.select(F.explode(parsed["value_labels"]).alias("label_set", "codes"))
+    whole = read_json(spark, path, "value_labels map<string, map<string, string>>")
+    sets = whole.select(F.explode("value_labels").alias("label_set", "codes"))
     return sets.select("label_set", F.explode("codes").alias("code", "label")).withColumn(
         "code", F.col("code").try_cast("double")
     )
