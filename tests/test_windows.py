@@ -25,6 +25,16 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id long, key string, bucket int, v double").cache()
 
 
+@pytest.fixture(params=[0.0, 0.5, 1.0], ids=["all keys split", "only the hot key", "no key split"], autouse=True)
+def hot_share(request, monkeypatch):
+    monkeypatch.setattr(windows, "HOT_SHARE", request.param)
+
+
+def test_hot_keys_are_bounded(skewed, rows):
+    assert rows(windows.hot_keys(skewed, ["key"], 0.5)) == [("hot",)]
+    assert windows.hot_keys(skewed, ["key"], 1.0).isEmpty()
+
+
 def test_lag_split_equals_plain(skewed, rows):
     plain = windows.lagged(skewed, ["key"], ["id"], {"p": "v"})
     split = windows.lagged(skewed, ["key"], ["id"], {"p": "v"}, ["bucket"])
@@ -55,7 +65,7 @@ def test_negative_direction_is_checked(skewed):
 
 def test_no_task_sorts_a_whole_key(skewed):
     plan = windows.lagged(skewed, ["key"], ["id"], {"p": "v"}, ["bucket"])._jdf.queryExecution().toString()
-    assert "hashpartitioning(key" in plan and "bucket" in plan
+    assert "hashpartitioning(key" in plan and "__bucket" in plan
 
 
 def test_standing_matches_pandas(skewed, rows):

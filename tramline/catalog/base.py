@@ -28,10 +28,10 @@ class Tables:
 
     @property
     def gauge(self) -> DataFrame:
-        """Events as gauge readings with their day and the hour that splits a day."""
+        """Events as gauge readings with their day and the minute that splits a hot station's day."""
         return self.events.select(
             "event_id", "user_id", "ts", "event_type", "value",
-            F.col("ts").cast("date").alias("day"), F.hour("ts").alias("hour"),
+            F.col("ts").cast("date").alias("day"), (F.hour("ts") * 60 + F.minute("ts")).alias("minute"),
         )
 
     @property

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from tramline.catalog.base import DISTANCE, LAT, LON, Tables, date_key_sql, lat, lon, query
 from tramline.functions import text, values
 from tramline.operators import incremental, reshape
-from tramline.plans import builders
+from tramline.plans import builders, waves
+from tramline.session import checkpoint_dir
 
 
 def _locations(t: Tables):
@@ -377,3 +379,30 @@ def built_points(t: Tables):
     known = t.customer.filter("c_custkey % 10 = 0").select(F.col("c_custkey").cast("int").alias("counting_point_id"))
     out = builders.dim_counting_point(catalogue, _geocodes(rows, "c_custkey", "latitude", "longitude"), _locations(t).filter("location_key < 20"), known)
     return out.select("counting_point_id", "counting_point_name", "directional", "location_key")
+
+
+@query(
+    "loaded_waves",
+    "B22 B23 B25 S2 S3 S19 K13 B5 B19 B21",
+    """WITH d AS (SELECT row_number() OVER (ORDER BY CASE WHEN s = 'MACHINERY' THEN 1 ELSE 0 END, s)::INT AS department_key, s FROM (SELECT DISTINCT c_mktsegment AS s FROM customer))
+    SELECT department_key, s AS department_name, (year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 1)::INT AS date_key, count(*) AS workers FROM orders JOIN customer ON o_custkey = c_custkey JOIN d ON s = c_mktsegment GROUP BY 1, 2, 3""",
+)
+def loaded_waves(t: Tables):
+    """Two waves into a fresh warehouse, then an update run that meets one more department.
+
+    Tables are written below the shared checkpoint folder, each run in a folder of its own.
+    """
+    house = waves.Warehouse(t.spark, f"{checkpoint_dir(t.spark)}/warehouse-{uuid.uuid4().hex}")
+    heads = _head_count(t)
+
+    def targets(head_count):
+        department = waves.Target(
+            "dim_department", lambda w: builders.dim_department(head_count, date(2026, 2, 9), waves.existing_or_none(w, "dim_department")),
+            surrogate=("department_key", ("department_name",)),
+        )
+        fact = waves.Target("fact_department", lambda w: builders.fact_department(head_count, w.read("dim_department"), waves.existing_or_none(w, "fact_department")))
+        return [[department], [fact]]
+
+    waves.run_waves(house, targets(heads.filter("Entiteit <> 'MACHINERY'")))
+    waves.run_waves(house, targets(heads), update=True)
+    return house.read("fact_department").join(house.read("dim_department"), "department_key").select("department_key", "department_name", "date_key", "workers")

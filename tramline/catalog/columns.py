@@ -83,7 +83,7 @@ def period_starts(t: Tables):
 
 @query(
     "clock_faces",
-    "F25 B1",
+    "F25 B1 S15",
     """SELECT DISTINCT (hour(ts) * 100 + minute(ts))::INT AS time_key, strftime(ts, '%p') AS am_pm,
       strftime(ts, '%I')::INT AS hour12 FROM events""",
 )

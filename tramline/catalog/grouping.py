@@ -49,7 +49,7 @@ def total_or_zero(t: Tables):
 )
 def conditional_sums(t: Tables):
     rows = t.gauge.groupBy("user_id").agg(
-        F.sum(F.when(F.col("hour").between(6, 9), F.col("value"))).isNotNull().alias("has_morning"),
+        F.sum(F.when(F.hour("ts").between(6, 9), F.col("value"))).isNotNull().alias("has_morning"),
         F.round(F.sum(F.when(F.weekday("day") >= 5, F.col("value")).otherwise(0.0)), 2).alias("weekend"),
         F.count_if(F.col("event_type") == "error").alias("errors"),
         F.sum("value").alias("total"),
@@ -63,7 +63,7 @@ def conditional_sums(t: Tables):
     """SELECT hour, round(avg(s), 4) AS mean_total FROM (SELECT user_id, ts::DATE AS d, hour(ts)::INT AS hour, sum(value) AS s FROM events GROUP BY 1, 2, 3) GROUP BY 1""",
 )
 def two_level_mean(t: Tables):
-    return aggregates.mean_of_totals(t.gauge, ["user_id", "day", "hour"], ["hour"], "value", "m").select("hour", F.round("m", 4).alias("mean_total"))
+    return aggregates.mean_of_totals(t.gauge.withColumn("hour", F.hour("ts")), ["user_id", "day", "hour"], ["hour"], "value", "m").select("hour", F.round("m", 4).alias("mean_total"))
 
 
 @query(

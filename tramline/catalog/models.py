@@ -66,7 +66,7 @@ _PROFILE = ["rush_ratio", "weekend_ratio", "rentals_per_day"]
 
 
 def _profile(t: Tables):
-    profile = reports.activity_profile(t.gauge, "user_id", "ts", "value", ["hour"])
+    profile = reports.activity_profile(t.gauge, "user_id", "ts", "value", ["minute"])
     return stats.standardise(profile, _PROFILE)
 
 

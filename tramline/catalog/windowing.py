@@ -15,7 +15,7 @@ from tramline.operators import aggregates, windows
     """SELECT event_id, lag(value) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts) AS prev_today, lag(event_type) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts) AS prev_type FROM events""",
 )
 def previous_readings(t: Tables):
-    out = windows.lagged(t.gauge, ["user_id", "day"], ["ts"], {"prev_today": "value", "prev_type": "event_type"}, ["hour"])
+    out = windows.lagged(t.gauge, ["user_id", "day"], ["ts"], {"prev_today": "value", "prev_type": "event_type"}, ["minute"])
     return out.select("event_id", "prev_today", "prev_type")
 
 
@@ -25,7 +25,7 @@ def previous_readings(t: Tables):
     "SELECT event_id, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events",
 )
 def previous_by_station(t: Tables):
-    return windows.lagged(t.gauge, ["user_id"], ["ts"], {"prev": "value"}, ["day", "hour"]).select("event_id", "prev")
+    return windows.lagged(t.gauge, ["user_id"], ["ts"], {"prev": "value"}, ["day", "minute"]).select("event_id", "prev")
 
 
 @query(
@@ -35,8 +35,8 @@ def previous_by_station(t: Tables):
     SELECT event_id, round(CASE WHEN value > p THEN value - p ELSE 0 END, 2) AS rise, round(CASE WHEN p IS NOT NULL THEN greatest(p - value, 0) END, 2) AS fall FROM s""",
 )
 def positive_deltas(t: Tables):
-    rise = windows.positive_delta(t.gauge, ["user_id", "day"], ["ts"], "value", "rise", split=["hour"])
-    both = windows.positive_delta(rise, ["user_id", "day"], ["ts"], "value", "fall", "fall", "null", ["hour"])
+    rise = windows.positive_delta(t.gauge, ["user_id", "day"], ["ts"], "value", "rise", split=["minute"])
+    both = windows.positive_delta(rise, ["user_id", "day"], ["ts"], "value", "fall", "fall", "null", ["minute"])
     return both.select("event_id", F.round("rise", 2).alias("rise"), F.round("fall", 2).alias("fall"))
 
 
@@ -47,7 +47,7 @@ def positive_deltas(t: Tables):
     SELECT event_id, round(greatest(value - p, 0), 2) AS rise FROM s WHERE p IS NOT NULL""",
 )
 def rises_without_first(t: Tables):
-    out = windows.positive_delta(t.gauge, ["user_id"], ["ts"], "value", "rise", first="drop", split=["day"])
+    out = windows.positive_delta(t.gauge, ["user_id"], ["ts"], "value", "rise", first="drop", split=["day", "minute"])
     return out.select("event_id", F.round("rise", 2).alias("rise"))
 
 
@@ -124,7 +124,7 @@ def share_of_total(t: Tables):
     """SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts) <= floor(count(*) OVER (PARTITION BY user_id) * 0.8) AS is_train FROM events""",
 )
 def chronological_split(t: Tables):
-    return windows.chronological_split(t.gauge, ["user_id"], ["ts"], 0.8, ["day"]).select("event_id", "is_train")
+    return windows.chronological_split(t.gauge, ["user_id"], ["ts"], 0.8, ["day", "minute"]).select("event_id", "is_train")
 
 
 @query(
@@ -133,7 +133,7 @@ def chronological_split(t: Tables):
     """SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS position, count(*) OVER (PARTITION BY event_type) AS size FROM events""",
 )
 def positions_in_series(t: Tables):
-    return windows.positions(t.gauge, ["event_type"], ["ts"], ["day", "hour"]).select("event_id", "position", "size")
+    return windows.positions(t.gauge, ["event_type"], ["ts"], ["day", "minute"]).select("event_id", "position", "size")
 
 
 @query(

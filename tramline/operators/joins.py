@@ -109,7 +109,7 @@ def named_within(
 
     With ``whole_first`` a whole-name hit anywhere in the list beats a part hit.
     """
-    subjects = df.select(*on, text).distinct()
+    subjects = df.select(*on, text).filter(F.col(text).isNotNull()).distinct()
     options = dim.select(*on, name, rank)
     lowered = F.lower(F.col(text))
     whole = F.contains(lowered, F.lower(F.col(name)))
@@ -155,7 +155,11 @@ def location_cascade(df: DataFrame, locations: DataFrame, name: str | None = Non
     )
     attempts = ["__k_both", "__k_town"]
     if name is not None:
-        step = named_within(step, name, locations, ["postal_code"], "municipality", "location_key", "__named")
+        # Only places no equality matched are compared by name; a NULL text matches nothing.
+        open_name = F.when(F.col("__k_both").isNull() & F.col("__k_town").isNull(), F.col(name))
+        step = named_within(
+            step.withColumn("__open", open_name), "__open", locations, ["postal_code"], "municipality", "location_key", "__named"
+        )
         named = town.select(F.col("__m3").alias("__m5"), F.col("__k_town").alias("__k_named"))
         step = step.join(named, F.col("__named") == F.col("__m5"), "left")
         attempts.append("__k_named")

@@ -1,12 +1,15 @@
 """Ordered operators per key that stay parallel when one key is hot.
 
-A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. The functions
-here take an optional ``split``: columns (e.g. the day or the hour) that cut every key
-into consecutive buckets and grow with the ordering. Rows are then sorted per
-(key, bucket) only. What a bucket must know about the earlier ones (last reading, running
-total, row count) is one summary row per bucket; it is scanned per key and handed to the
-bucket as a *carry row* that sorts first and is dropped at the end. Results are the same
-with and without ``split``.
+A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. The functions here
+take an optional ``split``: columns that cut a key into consecutive buckets and grow with the
+ordering (the day, the minute). Keys holding more than ``HOT_SHARE`` of all rows are then
+sorted per (key, bucket); all other keys are sorted whole, as ever. What a bucket must know
+about the earlier ones (last reading, running total, row count) is one summary row per bucket;
+it is scanned per hot key and handed to the bucket as a *carry row* that sorts first and is
+dropped at the end. Results are the same with and without ``split``.
+
+There can be no more than ``1 / HOT_SHARE`` hot keys, so their list is safe to broadcast.
+Without keys (ranking a whole table) every row is in a bucket.
 
 The order columns must order the rows of a key without ties.
 """
@@ -14,18 +17,41 @@ The order columns must order the rows of a key without ties.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT_SHARE = 1e-4
+
 _CARRY = "__carry"
+_BUCKET = "__bucket"
 Names = Sequence[str]
 
 
-def _scan(df: DataFrame, keys: Names, split: Names, summary: dict[str, Column], scan: dict[str, Column]) -> DataFrame:
-    """One row per (key, bucket): aggregate the bucket, then scan the buckets of a key in order."""
-    per_bucket = df.groupBy(*keys, *split).agg(*(c.alias(n) for n, c in summary.items()))
-    return per_bucket.select(*keys, *split, *(c.alias(n) for n, c in scan.items()))
+def hot_keys(df: DataFrame, keys: Names, share: float | None = None) -> DataFrame:
+    """Keys with more than ``share`` of all rows; fewer than ``1 / share`` rows by construction."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.filter(F.col("__n") > total * F.lit(HOT_SHARE if share is None else share)).select(*keys)
+
+
+def _bucketed(df: DataFrame, keys: Names, split: Names) -> DataFrame:
+    """Add the bucket: the split columns where the key is hot, else NULL."""
+    bucket = F.struct(*split)
+    if not keys:
+        return df.withColumn(_BUCKET, bucket)
+    hot = hot_keys(df, keys).select(*(F.col(k).alias(f"__hot_{k}") for k in keys), F.lit(True).alias("__hot"))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys))
+    joined = df.join(F.broadcast(hot), same, "left")
+    return joined.withColumn(_BUCKET, F.when(F.col("__hot"), bucket)).select(*df.columns, _BUCKET)
+
+
+def _scan(bucketed: DataFrame, keys: Names, summary: dict[str, Column], scan: dict[str, Column]) -> DataFrame:
+    """One row per bucket of the hot keys: aggregate it, then scan a key's buckets in order."""
+    hot = bucketed.filter(F.col(_BUCKET).isNotNull())
+    per_bucket = hot.groupBy(*keys, _BUCKET).agg(*(c.alias(n) for n, c in summary.items()))
+    return per_bucket.select(*keys, _BUCKET, *(c.alias(n) for n, c in scan.items()))
 
 
 def _with_carry(df: DataFrame, carry: DataFrame) -> DataFrame:
@@ -34,52 +60,51 @@ def _with_carry(df: DataFrame, carry: DataFrame) -> DataFrame:
     )
 
 
-def _inside(keys: Names, split: Names, order: Names):
-    return Window.partitionBy(*keys, *split).orderBy(F.col(_CARRY).desc(), *order)
+def _without_carry(df: DataFrame, *helpers: str) -> DataFrame:
+    return df.filter(~F.col(_CARRY)).drop(_CARRY, _BUCKET, *helpers)
 
 
-def lagged(
-    df: DataFrame,
-    keys: Names,
-    order: Names,
-    columns: dict[str, str],
-    split: Names = (),
-) -> DataFrame:
+def _inside(keys: Names, order: Names):
+    return Window.partitionBy(*keys, _BUCKET).orderBy(F.col(_CARRY).desc(), *order)
+
+
+def _buckets(keys: Names):
+    return Window.partitionBy(*keys).orderBy(_BUCKET)
+
+
+def _earlier(keys: Names):
+    return _buckets(keys).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def lagged(df: DataFrame, keys: Names, order: Names, columns: dict[str, str], split: Names = ()) -> DataFrame:
     """Add ``{new: source}`` columns holding the previous row's value within a key."""
     if not split:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
+    rows = _bucketed(df, keys, split)
     sources = list(dict.fromkeys(columns.values()))
     # One max_by per column on a plain order column keeps the buffers fixed-width, so the
-    # bucket summary is a hash aggregate; a struct would force a sort of the whole input.
+    # bucket summary is a hash aggregate; a struct would force a sort of the input.
     moment = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    in_order = Window.partitionBy(*keys).orderBy(*split)
     carry = _scan(
-        df, keys, split,
+        rows, keys,
         {c: F.max_by(c, moment) for c in sources},
-        {c: F.lag(c).over(in_order) for c in sources},
+        {c: F.lag(c).over(_buckets(keys)) for c in sources},
     )
-    w = _inside(keys, split, order)
-    out = _with_carry(df, carry).withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
-    return out.filter(~F.col(_CARRY)).drop(_CARRY)
+    w = _inside(keys, order)
+    return _without_carry(_with_carry(rows, carry).withColumns({new: F.lag(old).over(w) for new, old in columns.items()}))
 
 
-def running_sum(
-    df: DataFrame, keys: Names, order: Names, value: str, out: str, split: Names = ()
-) -> DataFrame:
+def running_sum(df: DataFrame, keys: Names, order: Names, value: str, out: str, split: Names = ()) -> DataFrame:
     """Add the inclusive running total of ``value`` within a key."""
     if not split:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(w))
-    before = (
-        Window.partitionBy(*keys).orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carry = _scan(df, keys, split, {"__s": F.sum(value)}, {value: F.sum("__s").over(before)})
+    rows = _bucketed(df, keys, split)
     kind = df.schema[value].dataType
-    carry = carry.withColumn(value, F.col(value).cast(kind))
-    w = _inside(keys, split, order).rowsBetween(Window.unboundedPreceding, 0)
-    out_df = _with_carry(df, carry).withColumn(out, F.sum(value).over(w))
-    return out_df.filter(~F.col(_CARRY)).drop(_CARRY)
+    carry = _scan(rows, keys, {"__s": F.sum(value)}, {value: F.sum("__s").over(_earlier(keys)).cast(kind)})
+    w = _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    return _without_carry(_with_carry(rows, carry).withColumn(out, F.sum(value).over(w)))
 
 
 def positions(
@@ -91,25 +116,24 @@ def positions(
         return df.withColumns(
             {position: F.row_number().over(w.orderBy(*order)).cast("long"), size: F.count(F.lit(1)).over(w)}
         )
-    in_order = Window.partitionBy(*keys).orderBy(*split)
+    rows = _bucketed(df, keys, split)
     carry = _scan(
-        df, keys, split,
+        rows, keys,
         {"__n": F.count(F.lit(1))},
         {
-            "__before": F.coalesce(
-                F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
+            "__before": F.coalesce(F.sum("__n").over(_earlier(keys)), F.lit(0)),
             "__size": F.sum("__n").over(Window.partitionBy(*keys)),
         },
     )
-    w = _inside(keys, split, order)
-    ranked = _with_carry(df, carry).withColumns(
+    w = _inside(keys, order)
+    carried = F.sum(F.col(_CARRY).cast("int")).over(w)
+    ranked = _with_carry(rows, carry).withColumns(
         {
-            position: F.row_number().over(w) - 1 + F.first("__before").over(w),
-            size: F.first("__size").over(w),
+            position: F.row_number().over(w) - carried + F.coalesce(F.first("__before").over(w), F.lit(0)),
+            size: F.coalesce(F.first("__size").over(w), F.count(F.lit(1)).over(Window.partitionBy(*keys, _BUCKET))),
         }
     )
-    return ranked.filter(~F.col(_CARRY)).drop(_CARRY, "__before", "__size")
+    return _without_carry(ranked, "__before", "__size")
 
 
 def positive_delta(
@@ -185,9 +209,9 @@ def standing(df: DataFrame, value: str, rank: str = "rank", percent: str = "top_
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
     keyed = counted.select(
-        "*", (-F.col(value)).alias("__down"), (-value_bucket(F.col(value))).alias("__bucket")
+        "*", (-F.col(value)).alias("__down"), (-value_bucket(F.col(value))).alias("__step")
     )
-    ranked = positions_weighted(keyed, [], ["__down"], "__n", ["__bucket"])
+    ranked = weighted_positions(keyed, ["__down"], "__n", ["__step"])
     ranks = ranked.select(
         F.col(value).alias("__value"),
         (F.col("__through") - F.col("__n") + 1).alias(rank),
@@ -196,27 +220,25 @@ def standing(df: DataFrame, value: str, rank: str = "rank", percent: str = "top_
     return df.join(ranks, df[value] == ranks["__value"], "left").drop("__value")
 
 
-def positions_weighted(
-    df: DataFrame, keys: Names, order: Names, weight: str, split: Names
-) -> DataFrame:
-    """Add ``__through`` (running weight up to and with the row) and ``__total`` per key."""
-    in_order = Window.partitionBy(*keys).orderBy(*split)
+def weighted_positions(df: DataFrame, order: Names, weight: str, split: Names) -> DataFrame:
+    """Add ``__through`` (running weight up to and with the row) and ``__total`` over the whole table."""
+    rows = _bucketed(df, [], split)
     carry = _scan(
-        df, keys, split,
+        rows, [],
         {"__w": F.sum(weight)},
         {
-            weight: F.coalesce(F.sum("__w").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "__total": F.sum("__w").over(Window.partitionBy(*keys)),
+            weight: F.coalesce(F.sum("__w").over(_earlier([])), F.lit(0)),
+            "__total": F.sum("__w").over(Window.partitionBy()),
         },
     )
-    w = _inside(keys, split, order)
-    out = _with_carry(df, carry).withColumns(
+    w = _inside([], order)
+    out = _with_carry(rows, carry).withColumns(
         {
             "__through": F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, 0)),
             "__total": F.first("__total").over(w),
         }
     )
-    return out.filter(~F.col(_CARRY)).drop(_CARRY)
+    return _without_carry(out)
 
 
 def latest(df: DataFrame, keys: Names, order: Names, n: int) -> DataFrame:

@@ -107,9 +107,9 @@ def random_split(df: DataFrame, id_column: str, fraction: float = 0.8, seed: int
     """Exact-size random split, within each class if ``classes`` is given (stratified).
 
     Rows are ranked by a hash of their unique id; the hash's first characters cut the ranking
-    into 4096 buckets.
+    into 65536 buckets.
     """
-    drawn = df.withColumn("__h", _draw(id_column, seed)).withColumn("__b", F.left("__h", F.lit(3)))
+    drawn = df.withColumn("__h", _draw(id_column, seed)).withColumn("__b", F.left("__h", F.lit(4)))
     marked = windows.chronological_split(drawn, classes, ["__h"], fraction, ["__b"], out)
     return marked.drop("__h", "__b")
 
