@@ -28,9 +28,14 @@ def monday_first(day: Column) -> Column:
     return F.weekday(day) + 1
 
 
+def whole_weeks(ordinal: Column) -> Column:
+    """Full weeks before the ``ordinal``-th day."""
+    return F.call_function("div", ordinal - 1, F.lit(7)).cast("int")
+
+
 def calendar_columns(day: Column) -> dict[str, Column]:
     """The non-holiday attributes of the calendar dimension, in table order."""
-    week_in_month = F.floor((F.dayofmonth(day) - 1) / 7).cast("int") + 1
+    week_in_month = whole_weeks(F.dayofmonth(day)) + 1
     return {
         "date_key": F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day),
         "full_date": day,
@@ -43,7 +48,7 @@ def calendar_columns(day: Column) -> dict[str, Column]:
         "day_of_quarter": F.date_diff(day, F.trunc(day, "quarter")) + 1,
         "day_of_year": F.dayofyear(day),
         "week_of_month": week_in_month,
-        "week_of_quarter": F.floor((F.dayofyear(day) - 1) / 7).cast("int") % 13 + 1,
+        "week_of_quarter": whole_weeks(F.dayofyear(day)) % 13 + 1,
         "week_of_year": F.weekofyear(day),
         "month": F.month(day),
         "month_name_en": F.date_format(day, "MMMM"),

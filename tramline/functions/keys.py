@@ -32,14 +32,8 @@ def key_date(day_key: Column) -> Column:
 
 def key_timestamp(day_key: Column, clock_key: Column) -> Column:
     """(date key, time key) to a wall-clock timestamp."""
-    return F.make_timestamp_ntz(
-        _div(day_key, 10000),
-        _div(day_key, 100) % 100,
-        day_key % 100,
-        _div(clock_key, 100),
-        clock_key % 100,
-        F.lit(0),
-    )
+    minutes = _div(clock_key, 100) * 60 + clock_key % 100
+    return F.timestamp_add("MINUTE", minutes, key_date(day_key).cast("timestamp_ntz"))
 
 
 def valid_date_key(day_key: Column) -> Column:
@@ -57,23 +51,20 @@ def month_bounds(year: int, month: int | None = None) -> tuple[int, int]:
 def local_from_unix(seconds: Column, zone: str | Column) -> Column:
     """Unix seconds to the wall clock of ``zone``."""
     zone = F.lit(zone) if isinstance(zone, str) else zone
-    utc = F.make_timestamp_ntz(*(F.lit(v) for v in (1970, 1, 1, 0, 0, 0)))
-    return F.convert_timezone(
-        F.lit("UTC"), zone, utc + F.make_interval(secs=seconds.cast("decimal(18,6)"))
-    )
+    utc = add_seconds(F.lit("1970-01-01").cast("timestamp_ntz"), seconds)
+    return F.convert_timezone(F.lit("UTC"), zone, utc)
 
 
 def add_seconds(moment: Column, seconds: Column) -> Column:
-    return moment + F.make_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.timestamp_add("SECOND", seconds, moment)
 
 
 def floor_minutes(moment: Column, minutes: int) -> Column:
-    """Start of the clock-aligned slot of ``minutes`` (a divisor of 60) holding ``moment``."""
-    start = _div(F.minute(moment), minutes) * minutes
-    return F.make_timestamp_ntz(
-        F.year(moment), F.month(moment), F.dayofmonth(moment), F.hour(moment), start, F.lit(0)
-    )
+    """Start of the clock-aligned slot of ``minutes`` (a divisor of a day) holding ``moment``."""
+    start = F.lit("0001-01-01").cast("timestamp_ntz")
+    passed = F.timestamp_diff("MINUTE", start, moment)
+    return F.timestamp_add("MINUTE", passed - passed % minutes, start)
 
 
 def _div(a: Column, b: int) -> Column:
-    return F.floor(a / F.lit(b)).cast("int")
+    return F.call_function("div", a, F.lit(b)).cast("int")

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture for every column expression makes building wide plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -65,23 +65,26 @@ def promote(
     counts = ready.groupBy("station_key", "window_start").agg(
         F.count_if(~F.col("canceled")).cast("int").alias("arrivals")
     )
-    # The promoted windows are at most the half-hours of the batch's time span: one array cell.
-    windows = ready.select(F.collect_set("window_start")).scalar()
+    # The promoted windows are at most the half-hours of the batch's time span: one array cell,
+    # with the keys worked out once per window instead of once per station and window.
+    end = F.col("window_start") + F.expr(f"interval {minutes} minutes")
+    window = F.struct(
+        "window_start",
+        date_key(F.col("window_start")).alias("date_key"),
+        time_key(F.col("window_start")).alias("start_time"),
+        time_key(end).alias("end_time"),
+    )
+    windows = ready.select("window_start").distinct().select(F.collect_list(window)).scalar()
     # A fixed partition count keeps AQE from packing the few stations into one task before
     # each of them is multiplied by the windows.
     spread = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     scaffold = (
         stations.select("station_key").repartition(spread, "station_key").distinct()
-        .select("station_key", F.explode(windows).alias("window_start"))
+        .select("station_key", F.inline(windows))
     )
     filled = scaffold.join(counts, ["station_key", "window_start"], "left")
-    end = F.col("window_start") + F.expr(f"interval {minutes} minutes")
     fact = filled.select(
-        "station_key",
-        date_key(F.col("window_start")).alias("date_key"),
-        time_key(F.col("window_start")).alias("start_time"),
-        time_key(end).alias("end_time"),
-        F.coalesce("arrivals", F.lit(0)).alias("arrivals"),
+        "station_key", "date_key", "start_time", "end_time", F.coalesce("arrivals", F.lit(0)).alias("arrivals")
     )
     return fact, remaining
 
