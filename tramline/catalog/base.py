@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.functions.keys import floor_minutes
 from tramline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,7 +57,7 @@ class Tables:
             (F.hour("ts") * 100 + F.minute("ts")).alias("time_key"),
             F.floor(F.col("value") * 10).cast("int").alias("delay"),
             (F.col("event_type") == "error").alias("canceled"),
-            F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("last_updated"),
+            floor_minutes(F.col("ts"), 1).alias("last_updated"),
         )
 
 

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tramline.catalog.base import STAGING, Tables, date_key_sql, query, time_key_sql
+from tramline.functions.keys import wall_clock
 from tramline.operators import incremental, reshape
 from tramline.plans.builders import replace_month
 from tramline.streaming import arrivals
@@ -43,7 +44,7 @@ def newest_versions(t: Tables):
     f"""WITH {_WINDOWS} SELECT train_id, ws AS window_start, stable AS is_stable, ok AS window_stable FROM rows JOIN verdict USING (ws)""",
 )
 def window_verdicts(t: Tables):
-    out = arrivals.with_windows(t.staging, F.lit(_AS_OF).cast("timestamp_ntz"))
+    out = arrivals.with_windows(t.staging, wall_clock(_AS_OF))
     return out.select("train_id", "window_start", "is_stable", "window_stable")
 
 

@@ -6,10 +6,17 @@ depends on the session time zone.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def wall_clock(moment: datetime) -> Column:
+    """A naive datetime as a literal without zone (a plain literal would pass through the session zone)."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_key(moment: Column) -> Column:
     """Date or timestamp to a yyyyMMdd integer."""
     return F.year(moment) * 10000 + F.month(moment) * 100 + F.dayofmonth(moment)

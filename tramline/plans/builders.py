@@ -370,7 +370,7 @@ def fact_bike_gauge(
     rows = joins.lookup(
         rows, bike_stations, {"bike_station_key": "bike_station_key"}, {"at_lat": "latitude", "at_lon": "longitude"}, "inner"
     )
-    moment = F.lit(as_of).cast("timestamp_ntz")
+    moment = keys.wall_clock(as_of)
     stamped = rows.withColumns({"date_key": keys.date_key(moment), "time_key": keys.time_key(moment)})
     linked = spatial.nearest(
         stamped, rail_stations, metres, ("at_lat", "at_lon"), ("latitude", "longitude"), "station_key", "linked_station_key"

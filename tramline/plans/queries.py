@@ -88,8 +88,8 @@ def in_last_days(day_key: Column, clock_key: Column, as_of: datetime, days: int)
     The bounds are plain key literals: the day range reaches the scan, the minute test trims
     the first and the last day.
     """
-    low = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"interval {days} days")
-    high = F.lit(as_of).cast("timestamp_ntz")
+    high = keys.wall_clock(as_of)
+    low = high - F.expr(f"interval {days} days")
     lo_day, hi_day = keys.date_key(low), keys.date_key(high)
     minute = keys.time_key(high)
     return (
@@ -124,7 +124,7 @@ def health(tables: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
     """Status row with the row count of every dimension."""
     counts = row_census(dict(tables))
     picks = [F.max(F.when(F.col("table_name") == n, F.col("rows"))).alias(n) for n in tables]
-    return counts.agg(*picks).select(F.lit("ok").alias("status"), F.lit(as_of).alias("checked_at"), *tables)
+    return counts.agg(*picks).select(F.lit("ok").alias("status"), keys.wall_clock(as_of).alias("checked_at"), *tables)
 
 
 def listing(dim: DataFrame, columns: list[str], order: str) -> DataFrame:

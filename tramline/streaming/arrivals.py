@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.keys import add_seconds, date_key, floor_minutes, key_timestamp, time_key
+from tramline.functions.keys import add_seconds, date_key, floor_minutes, key_timestamp, time_key, wall_clock
 from tramline.operators.incremental import newest_version, upsert
 
 STAGING_KEY = ["train_id", "station_key", "date_key", "time_key"]
@@ -57,7 +57,7 @@ def promote(
     Every station gets a row per promoted window, 0 where nothing arrived. Canceled trains are
     not counted but leave staging with their window.
     """
-    moment = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    moment = as_of if isinstance(as_of, Column) else wall_clock(as_of)
     rows = with_windows(staging, moment, minutes, lateness)
     ready = rows.filter("window_stable")
     remaining = rows.filter(~F.col("window_stable")).select(*staging.columns)
@@ -91,7 +91,7 @@ def promote(
 
 def slot_counts(board: DataFrame, start: datetime | Column, minutes: int = 30) -> DataFrame:
     """One-shot count of a single slot: running trains arriving in [start, start + minutes)."""
-    lo = start if isinstance(start, Column) else F.lit(start).cast("timestamp_ntz")
+    lo = start if isinstance(start, Column) else wall_clock(start)
     hi = lo + F.expr(f"interval {minutes} minutes")
     actual = actual_arrival()
     return (
