@@ -14,7 +14,7 @@ _LEVELS = ["click", "error", "purchase", "signup", "view"]
 @query(
     "grouped_measures",
     "A1 A3 A4 X1",
-    """SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity, round(avg(l_extendedprice), 4) AS mean_price,
+    """SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity, round(avg(l_extendedprice), 8) AS mean_price,
       min(l_discount) AS min_discount, max(l_tax) AS max_tax, count(DISTINCT l_partkey) AS parts,
       (sum(l_linenumber) // count(l_linenumber))::BIGINT AS mean_line FROM lineitem GROUP BY 1, 2""",
 )
@@ -22,7 +22,7 @@ def grouped_measures(t: Tables):
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("l_quantity").alias("quantity"),
-        F.round(F.avg("l_extendedprice"), 4).alias("mean_price"),
+        F.round(F.avg("l_extendedprice"), 8).alias("mean_price"),
         F.min("l_discount").alias("min_discount"),
         F.max("l_tax").alias("max_tax"),
         F.count_distinct("l_partkey").alias("parts"),
@@ -60,10 +60,10 @@ def conditional_sums(t: Tables):
 @query(
     "two_level_mean",
     "A8",
-    """SELECT hour, round(avg(s), 4) AS mean_total FROM (SELECT user_id, ts::DATE AS d, hour(ts)::INT AS hour, sum(value) AS s FROM events GROUP BY 1, 2, 3) GROUP BY 1""",
+    """SELECT hour, round(avg(s), 8) AS mean_total FROM (SELECT user_id, ts::DATE AS d, hour(ts)::INT AS hour, sum(value) AS s FROM events GROUP BY 1, 2, 3) GROUP BY 1""",
 )
 def two_level_mean(t: Tables):
-    return aggregates.mean_of_totals(t.gauge.withColumn("hour", F.hour("ts")), ["user_id", "day", "hour"], ["hour"], "value", "m").select("hour", F.round("m", 4).alias("mean_total"))
+    return aggregates.mean_of_totals(t.gauge.withColumn("hour", F.hour("ts")), ["user_id", "day", "hour"], ["hour"], "value", "m").select("hour", F.round("m", 8).alias("mean_total"))
 
 
 @query(
@@ -89,13 +89,13 @@ def value_pivot(t: Tables):
     "named_ratio",
     "A12 A13",
     """SELECT c_nationkey, count(*) AS members, sum((c_acctbal > 5000)::INT)::BIGINT AS rich, round(sum((c_acctbal > 5000)::INT) * 100.0 / count(*), 6) AS rich_pct,
-      round(avg(c_acctbal), 4) AS mean_balance FROM customer GROUP BY 1""",
+      round(avg(c_acctbal), 8) AS mean_balance FROM customer GROUP BY 1""",
 )
 def named_ratio(t: Tables):
     rich = F.count_if(F.col("c_acctbal") > 5000)
     n = F.count(F.lit(1))
     return t.customer.groupBy("c_nationkey").agg(
-        n.alias("members"), rich.alias("rich"), F.round(rich * 100.0 / n, 6).alias("rich_pct"), F.round(F.avg("c_acctbal"), 4).alias("mean_balance")
+        n.alias("members"), rich.alias("rich"), F.round(rich * 100.0 / n, 6).alias("rich_pct"), F.round(F.avg("c_acctbal"), 8).alias("mean_balance")
     )
 
 

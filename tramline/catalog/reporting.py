@@ -145,23 +145,23 @@ def _emissions(t: Tables):
 @query(
     "emission_summary",
     "M9 A18 U1 A16",
-    f"""WITH {_PEOPLE} SELECT population, count(emission) AS count, round(avg(emission), 6) AS mean, round(stddev_samp(emission), 6) AS std, round(min(emission), 6) AS min,
-      round(quantile_cont(emission, 0.25), 6) AS q25, round(quantile_cont(emission, 0.5), 6) AS q50, round(quantile_cont(emission, 0.75), 6) AS q75, round(max(emission), 6) AS max FROM people GROUP BY 1""",
+    f"""WITH {_PEOPLE} SELECT population, count(emission) AS count, round(avg(emission), 9) AS mean, round(stddev_samp(emission), 9) AS std, round(min(emission), 9) AS min,
+      round(quantile_cont(emission, 0.25), 9) AS q25, round(quantile_cont(emission, 0.5), 9) AS q50, round(quantile_cont(emission, 0.75), 9) AS q75, round(max(emission), 9) AS max FROM people GROUP BY 1""",
 )
 def emission_summary(t: Tables):
-    return _rounded(describe(_emissions(t), ["population"], "emission"), mean=6, std=6, min=6, q25=6, q50=6, q75=6, max=6)
+    return _rounded(describe(_emissions(t), ["population"], "emission"), mean=9, std=9, min=9, q25=9, q50=9, q75=9, max=9)
 
 
 @query(
     "emission_welch_test",
     "M9 N1",
     f"""WITH {_PEOPLE}, m AS (SELECT population AS p, count(*) AS n, avg(emission) AS m, var_samp(emission) AS v FROM people GROUP BY 1)
-    SELECT a.p AS group_a, b.p AS group_b, round(a.m, 6) AS mean_a, round(b.m, 6) AS mean_b, round((a.m - b.m) / sqrt(a.v / a.n + b.v / b.n), 6) AS t,
+    SELECT a.p AS group_a, b.p AS group_b, round(a.m, 9) AS mean_a, round(b.m, 9) AS mean_b, round((a.m - b.m) / sqrt(a.v / a.n + b.v / b.n), 6) AS t,
       round(pow(a.v / a.n + b.v / b.n, 2) / (pow(a.v / a.n, 2) / (a.n - 1) + pow(b.v / b.n, 2) / (b.n - 1)), 4) AS df FROM m a JOIN m b ON a.p = 'students' AND b.p = 'workers'""",
 )
 def emission_welch_test(t: Tables):
     out = reports.compare_populations(_emissions(t), "population", "emission", "students", "workers")
-    return _rounded(out, mean_a=6, mean_b=6, t=6).withColumn("df", F.round("df", 4)).drop("p_value")
+    return _rounded(out, mean_a=9, mean_b=9, t=6).withColumn("df", F.round("df", 4)).drop("p_value")
 
 
 @query(

@@ -119,7 +119,7 @@ def dim_bike_station(feed: DataFrame, geocodes: DataFrame, locations: DataFrame,
 
 def dim_station(
     rail: DataFrame, bike_stations: DataFrame, geocodes: DataFrame, locations: DataFrame,
-    existing: DataFrame | None = None, metres: float = 500, prefix: str = "http://irail.be/stations/NMBS/",
+    existing: DataFrame | None = None, metres: float = 500, prefix: str = schemas.RAIL_URI_PREFIX,
 ) -> DataFrame:
     """Rail stations with a bike station within ``metres``."""
     rows = rail.select(
@@ -130,7 +130,7 @@ def dim_station(
     return link_locations(fresh, geocodes, locations, "latitude", "longitude", "station_name")
 
 
-def stations_by_name(rail: DataFrame, bikes: DataFrame, location: str = "Location", prefix: str = "http://irail.be/stations/NMBS/") -> DataFrame:
+def stations_by_name(rail: DataFrame, bikes: DataFrame, location: str = "Location", prefix: str = schemas.RAIL_URI_PREFIX) -> DataFrame:
     """Older variant: rail stations whose name equals a bike place '<name> Station ...'."""
     named = bikes.filter(F.col(location).contains("Station")).select(
         values.replace_values(text.drop_tail(F.col(location), "Station"), schemas.STATION_ALIASES).alias("station_name")

@@ -84,6 +84,9 @@ CO2_RATES = {
 WORKER_LABELS = {"work_place": "labels3", "work_function": "labels195", "work_regime": "labels7", "home_work": "labels8"}
 TRAVEL_LABELS = {"travel_type": "labels4"}
 
+# Fixed value: start of the station identifiers in the rail feed, stored without it.
+RAIL_URI_PREFIX = "http://irail.be/stations/NMBS/"
+
 # Station names the rail feed spells differently.
 STATION_ALIASES = {
     "Beveren-Waas": "Beveren",
