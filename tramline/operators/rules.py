@@ -7,7 +7,7 @@ report rows (table_name, rule, column_name, violations, passed, row_count).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -169,7 +169,7 @@ def gate(report: DataFrame) -> None:
 
 # --- expectations on one measured value -----------------------------------------------------
 
-COMPARATORS: dict[str, callable] = {
+COMPARATORS: dict[str, Callable] = {
     "==": lambda a, e: a == e,
     "!=": lambda a, e: a != e,
     "<": lambda a, e: a < e,
@@ -203,6 +203,3 @@ def expectation_value(fact: DataFrame, dim: DataFrame, on: tuple[str, str], name
 
 def rules_with(rules: TableRules, **changes: object) -> TableRules:
     return TableRules(**{**rules.__dict__, **changes})
-
-
-Names = Sequence[str]

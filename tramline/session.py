@@ -33,20 +33,20 @@ def get_session(app: str = "tramline", master: str | None = None, **extra: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder.
+    """The cluster's checkpoint folder, as named in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none and the session runs in local mode is a
-    temporary folder used, because executors cannot read another machine's disk.
+    Only where the cluster names none and the session runs in local mode is a temporary folder
+    used, because executors cannot read another machine's disk.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        configured = tempfile.mkdtemp(prefix="tramline-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+        folder = tempfile.mkdtemp(prefix="tramline-checkpoint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
