@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import chat, mixing
+from tramline.llm import chat, language, mixing, pieces, secrets
 from tramline.session import table
 
 
+#: Public vocabulary files; see the README of that folder.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
+def op1_sentencepiece(spark: SparkSession, folder: str, model: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
+    """Every document's ids, and whether decoding them gives its text back."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    read = pieces.decode(pieces.encode(docs, model), model)
+    return read.select(
+        "doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one whose texts look like control strings."""
     said = "</s>[INST] ok [/INST]"
@@ -28,9 +42,32 @@ def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those whose id's crc32 mod 4 is not 2."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = language.train(docs.filter(~held_out))
+    return language.identify(docs.drop("lang"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits")
+
+
+def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.learn(docs)).select("doc_id", "found")
+    base = secrets.base_only(F.col("found"))
+    count = {k: secrets.count_of(F.col("found"), k).alias(f"n_{k}") for k in [*secrets.KINDS, secrets.FORMAT]}
+    return found.select(
+        "doc_id", *[count[k] for k in secrets.KINDS], F.sha2(secrets.digest(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.digest(F.col("found")).alias("spans"), count[secrets.FORMAT],
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
     "op4_source_mixing": op4_source_mixing,
+    "op6_language_id": op6_language_id,
+    "op8_secret_scans": op8_secret_scans,
 }
 
 _TURNS = """turns AS (
