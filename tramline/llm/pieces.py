@@ -123,7 +123,8 @@ class _Bpe:
         ranks: dict[float, int] = {}
         self.rank = {p: ranks.setdefault(scores[p], len(ranks)) for p in order}
         self.parts: dict[str, tuple[str, str]] = {}
-        self.known: dict[tuple[str, str], bool] = {}
+        self.follows: dict[str, dict[str, bool]] = {}  # remembered: which arcs may follow a symbol
+        self.size = 0
         for p in order:  # children come before their piece: merging makes them first
             for k in range(1, len(p)):
                 a, b = p[:k], p[k:]
@@ -177,10 +178,11 @@ class _Bpe:
         return out
 
     def joins(self, a: str, b: str) -> bool:
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        fits = self.known[a, b] = self._side_by_side(a, b, math.inf)
-        return fits
+        return self._side_by_side(a, b, math.inf)
+
+    def forget(self) -> None:
+        self.follows.clear()
+        self.size = 0
 
 
 class Transducer:
@@ -218,7 +220,10 @@ class Transducer:
     def _path(self, word: str) -> list[int]:
         """Ids along the shortest path through the word's lattice; unknown characters as -1 - code point."""
         path = self._only_path(word) if self.bpe else self._best_path(word)
-        return [self.id_of.get(piece, -1 - ord(piece[0])) for piece in path]
+        try:
+            return list(map(self.id_of.__getitem__, path))
+        except KeyError:
+            return [self.id_of.get(piece, -1 - ord(piece[0])) for piece in path]
 
     def _best_path(self, word: str) -> list[str]:
         """Forward over the lattice: the least weight at every place, and the arc that brought it."""
@@ -251,30 +256,47 @@ class Transducer:
 
         A place that is reached is reached by one path only, so a place without a way on is never tried again.
         """
-        n, cost, bpe, reach, known = len(word), self.cost, self.bpe, self.reach, self.bpe.known
+        bpe, reach = self.bpe, self.reach
+        if bpe.size > _REMEMBERED:
+            bpe.forget()
+        follows = bpe.follows
+        n, at, last = len(word), 0, ""
         path: list[str] = []
-        at, last, dead = 0, "", set()
-        size = min(reach.get(word[:3], 2), n)
+        dead: set[int] = set()
+        size = 0
         while at < n:
+            after = follows.get(last)
+            if after is None:
+                after = follows[last] = {}
+            if not size:
+                size = reach.get(word[at : at + 3], 2)
+                if size > n - at:
+                    size = n - at
             while size:
                 arc = word[at : at + size]
-                if (arc in cost or size == 1) and at + size not in dead:
-                    fits = not last or known.get((last, arc))
-                    if fits or fits is None and bpe.joins(last, arc):
-                        break
+                fits = after.get(arc)
+                if fits is None:
+                    fits = after[arc] = self._follows(last, arc)
+                if fits and (not dead or at + size not in dead):
+                    break
                 size -= 1
             if size:
                 path.append(arc)
                 last = arc
                 at += size
-                size = min(reach.get(word[at : at + 3], 2), n - at)
-            else:
+                size = 0
+                continue
+            while not size:  # no way on: back to the place before, and a shorter arc from there
                 dead.add(at)
                 arc = path.pop()
                 at, size = at - len(arc), len(arc) - 1
-                last = path[-1] if path else ""
+            last = path[-1] if path else ""
         return bpe.absorbed(path) if bpe.last and MARK * 2 in word else path
 
+    def _follows(self, last: str, arc: str) -> bool:
+        self.bpe.size += 1
+        return (arc in self.cost or len(arc) == 1) and (not last or self.bpe.joins(last, arc))
+
     def _resolved(self, path: list[int]) -> list[int]:
         """Unknown characters as bytes, or as one unknown id a run."""
         if min(path, default=0) >= 0:

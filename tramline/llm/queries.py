@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import chat, language, mixing, pieces, secrets
+from tramline.llm import chat, language, mixing, neardup, pieces, secrets
 from tramline.session import table
 
 
@@ -62,12 +62,19 @@ def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document; the one that gives the class its id is kept."""
+    found = neardup.classes(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
     "op4_source_mixing": op4_source_mixing,
     "op6_language_id": op6_language_id,
     "op8_secret_scans": op8_secret_scans,
+    "op9_minhash_neardup": op9_minhash_neardup,
 }
 
 _TURNS = """turns AS (
