@@ -76,11 +76,10 @@ class Model:
         data, limits = _joined(texts)
         rows, width = len(limits) - 1, self.bits.shape[1]
         edge = width - 1  # stands before a text: no context reaches across it
-        sizes = np.diff(limits)
-        stream = np.full(len(data) + ORDER * rows, edge, np.int32)
-        at = np.arange(len(data)) + np.repeat(ORDER * np.arange(1, rows + 1), sizes)
-        stream[at] = self.symbols[data]
-        row = np.repeat(np.arange(rows), sizes + ORDER)
+        stream = np.full(len(data) + ORDER * rows, edge, np.uint16)
+        ends = limits[1:] + ORDER * np.arange(1, rows + 1)
+        for k in range(rows):
+            stream[ends[k] - (limits[k + 1] - limits[k]) : ends[k]] = self.symbols[data[limits[k] : limits[k + 1]]]
         table = self.bits.reshape(-1, len(self.langs))
         total = np.zeros((rows, len(self.langs)))
         for a in range(ORDER, len(stream), _SLICE):
@@ -89,10 +88,11 @@ class Model:
             for back in range(ORDER, 0, -1):
                 context = context * width + stream[a - back : b - back]
             bits = table[self.states[context].astype(np.int64) * width + stream[a:b]]
-            first = row[a]
+            first, last = np.searchsorted(ends, [a, b - 1], "right")
+            limit = np.minimum(ends[first : last + 1], b) - a
+            row = np.repeat(np.arange(last - first + 1), np.diff(limit, prepend=0))
             for k in range(len(self.langs)):
-                summed = np.bincount(row[a:b] - first, weights=bits[:, k])
-                total[first : first + len(summed), k] += summed
+                total[first : last + 1, k] += np.bincount(row, weights=bits[:, k], minlength=last - first + 1)
         return total
 
 
@@ -102,13 +102,13 @@ def _build(counts: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]) -> Mode
     seen = np.unique(np.concatenate([counts[lang, 1][0] for lang in langs]))
     n_seen = len(seen)
     width = n_seen + 2  # seen bytes, any unseen byte, the edge of a text
-    symbols = np.full(256, n_seen, np.int32)
+    symbols = np.full(256, n_seen, np.uint16)
     symbols[seen] = np.arange(n_seen)
 
     def packed(grams: np.ndarray, size: int) -> np.ndarray:
         out = np.zeros(len(grams), np.int64)
         for k in range(size - 1, -1, -1):
-            out = out * width + symbols[(grams >> (8 * k)) & 255]
+            out = out * width + symbols[(grams >> (8 * k)) & 255].astype(np.int64)
         return out
 
     grams = {(lang, size): (packed(g, size), n) for (lang, size), (g, n) in counts.items()}

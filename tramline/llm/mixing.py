@@ -56,7 +56,7 @@ def targets(sizes: DataFrame, most: float = 3.0, cycle: tuple[int, ...] = (1, 2,
         F.coalesce(F.sum("mix__weight").over(before), F.lit(0.0)).alias("mix__weight_before"),
     )
     level = (F.col("mix__total") - most * F.col("mix__size_before")) / (F.col("mix__weights") - F.col("mix__weight_before"))
-    ranked = ranked.withColumn("mix__level", F.min(F.when(level <= F.col("mix__limit"), level)).over(every))
+    ranked = ranked.withColumn("mix__level", F.max(F.when(level <= F.col("mix__limit"), level)).over(every))
     target = F.when(
         F.col("mix__level").isNull() | (F.col("mix__limit") < F.col("mix__level")), most * F.col("source_size")
     ).otherwise(F.col("mix__level") * F.col("mix__weight"))

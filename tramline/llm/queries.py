@@ -104,7 +104,7 @@ limits AS (SELECT *, 3.0::DOUBLE * source_size / weight AS cap, sum(source_size)
 levels AS (
   SELECT *, (total - 3.0::DOUBLE * coalesce(sum(source_size) OVER w, 0)) / (weights - coalesce(sum(weight) OVER w, 0)) AS level
   FROM limits WINDOW w AS (ORDER BY cap, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-leveled AS (SELECT *, min(level) FILTER (level <= cap) OVER () AS found FROM levels),
+leveled AS (SELECT *, max(level) FILTER (level <= cap) OVER () AS found FROM levels),
 goals AS (
   SELECT source, source_size, CASE WHEN found IS NULL OR cap < found THEN 3.0::DOUBLE * source_size ELSE found * weight END AS target FROM leveled),
 plan AS (
