@@ -72,8 +72,16 @@ class Model:
     bits: np.ndarray
 
     def code_lengths(self, texts: pa.Array) -> np.ndarray:
-        """Bits of each text in each language."""
+        """Bits of each text in each language, worked out for runs of texts of about ``_SLICE`` bytes."""
         data, limits = _joined(texts)
+        total, first = [np.zeros((0, len(self.langs)))], 0
+        while first < len(texts):
+            last = max(int(np.searchsorted(limits, limits[first] + _SLICE, "right")) - 1, first + 1)
+            total.append(self._run(data[limits[first] : limits[last]], limits[first : last + 1] - limits[first]))
+            first = last
+        return np.concatenate(total)
+
+    def _run(self, data: np.ndarray, limits: np.ndarray) -> np.ndarray:
         rows, width = len(limits) - 1, self.bits.shape[1]
         edge = width - 1  # stands before a text: no context reaches across it
         stream = np.full(len(data) + ORDER * rows, edge, np.uint16)

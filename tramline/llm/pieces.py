@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Words and pairs remembered by a worker before its memory starts afresh, and the longest word remembered.
-_REMEMBERED, _LONGEST = 400_000, 48
+_REMEMBERED, _LONGEST = 200_000, 48
 # Types of pieces and model types in a SentencePiece model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
@@ -400,6 +400,8 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", into: str = "decoded")
     @F.arrow_udf("string")
     def texts(rows: pa.Array) -> pa.Array:
         t = transducer(model)
-        return pa.array([t.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in rows], pa.string())
+        parts = [rows[k : k + 500] for k in range(0, max(len(rows), 1), 500)]
+        made = [pa.array([t.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in part], pa.string()) for part in parts]
+        return pa.concat_arrays(made)
 
     return docs.withColumn(into, texts(F.col(ids)))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import chat, language, mixing, neardup, pieces, secrets
+from tramline.llm import ann, chat, language, mixing, neardup, pieces, pigeonhole, secrets
 from tramline.session import table
 
 
@@ -36,12 +36,22 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.examples(turns.unionByName(planted)))
 
 
+def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id is divisible by 20."""
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to source weights 1, 2, 3, repeating."""
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links of cosine 0.9 and more among all vectors, and their components."""
+    return pigeonhole.linked(table(spark, folder, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from those whose id's crc32 mod 4 is not 2."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -71,7 +81,9 @@ def op9_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_source_mixing": op4_source_mixing,
+    "op5_embedding_neardup": op5_embedding_neardup,
     "op6_language_id": op6_language_id,
     "op8_secret_scans": op8_secret_scans,
     "op9_minhash_neardup": op9_minhash_neardup,
