@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import ann, chat, language, mixing, neardup, pieces, pigeonhole, secrets
+from tramline.llm import ann, chat, html_text, language, mixing, neardup, pieces, pigeonhole, secrets
 from tramline.session import table
 
 
@@ -78,6 +78,12 @@ def op9_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    pages = html_text.extract(table(spark, folder, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op8_secret_scans": op8_secret_scans,
     "op9_minhash_neardup": op9_minhash_neardup,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 _TURNS = """turns AS (
