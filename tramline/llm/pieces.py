@@ -358,7 +358,10 @@ class Transducer:
         else:
             out = [text_of[i] for i in ids]
         text = "".join(out)
-        return text[1:] if self.model.add_prefix and text.startswith(" ") else text
+        if self.model.add_prefix and text.startswith(" "):
+            first = next(i for i in ids if i in byte_of or text_of[i])
+            return text if first in byte_of else text[1:]
+        return text
 
 
 def _characters(data: bytes) -> str:
