@@ -39,6 +39,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 #: Words and pairs remembered by a worker before its memory starts afresh, and the longest word remembered.
 _REMEMBERED, _LONGEST = 200_000, 48
+#: Characters that mostly decide which arcs start at a place.
+_WINDOW = 6
 # Types of pieces and model types in a SentencePiece model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
@@ -185,6 +187,26 @@ class _Bpe:
         self.size = 0
 
 
+class _Memory(dict):
+    """What was looked up lately: entries not met again while the next half fills are dropped."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is not None:
+            self[key] = found
+        return found
+
+    def keep(self, key, value) -> None:
+        if 2 * len(self) >= _REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Transducer:
     """A compiled model."""
 
@@ -203,13 +225,18 @@ class Transducer:
         self.least = min(spelled.values(), default=0.0) - 10.0  # score of an unknown character
         self.cost = {p: 0.0 if self.bpe else -s for p, s in spelled.items() if not self.bpe or self.bpe.made(p)}
         self.prefixes = {p[:k] for p in self.cost for k in range(1, len(p) + 1)}
-        self.reach: dict[str, int] = {}  # the longest piece that starts with these characters
+        self.trie: dict = {}
         for p in self.cost:
-            self.reach[p[:3]] = max(self.reach.get(p[:3], 0), len(p))
+            node = self.trie
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = p
+        self.arcs_at: dict[str, tuple[str, ...]] = {}
         self.crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in spelled)
         self.word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.text_of = [self._text(i) for i in range(len(pieces))]
-        self._known: dict[str, list[int]] = {}
+        self._known = _Memory()
+        self.inner = {p[k : k + 2] for p in spelled for k in range(len(p) - 1)}
 
     def _text(self, i: int) -> str:
         piece, _, kind = self.model.pieces[i]
@@ -217,13 +244,39 @@ class Transducer:
             return ""
         return self.model.unk_surface if kind == _UNKNOWN else piece.replace(MARK, " ") if self.model.escape else piece
 
-    def _path(self, word: str) -> list[int]:
-        """Ids along the shortest path through the word's lattice; unknown characters as -1 - code point."""
+    def _path(self, word: str) -> tuple[int, ...]:
+        """Ids along the shortest path through the word's lattice; without byte fallback, unknown characters as -1 - code point.
+
+        Two characters that follow each other in no piece part the lattice: every path passes between them.
+        """
+        inner = self.inner
+        cuts = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in inner]
+        if not cuts:
+            return self._part(word)
+        out: list[int] = []
+        known, at = self._known, 0
+        for cut in (*cuts, len(word)):
+            part = word[at:cut]
+            ids = known[part]
+            if ids is None:
+                ids = self._part(part)
+                if len(part) <= _LONGEST:
+                    known.keep(part, ids)
+            out += ids
+            at = cut
+        return tuple(out)
+
+    def _part(self, word: str) -> tuple[int, ...]:
         path = self._only_path(word) if self.bpe else self._best_path(word)
         try:
-            return list(map(self.id_of.__getitem__, path))
+            return tuple(map(self.id_of.__getitem__, path))
         except KeyError:
-            return [self.id_of.get(piece, -1 - ord(piece[0])) for piece in path]
+            ids = [self.id_of.get(piece, -1 - ord(piece[0])) for piece in path]
+            return tuple(self._bytes(ids) if self.byte_ids else ids)
+
+    def _bytes(self, path: list[int]) -> list[int]:
+        """Unknown characters as their bytes' ids."""
+        return [x for i in path for x in ((i,) if i >= 0 else [self.byte_ids[b] for b in chr(-1 - i).encode()])]
 
     def _best_path(self, word: str) -> list[str]:
         """Forward over the lattice: the least weight at every place, and the arc that brought it."""
@@ -256,71 +309,70 @@ class Transducer:
 
         A place that is reached is reached by one path only, so a place without a way on is never tried again.
         """
-        bpe, reach = self.bpe, self.reach
+        bpe, arcs_at = self.bpe, self.arcs_at
         if bpe.size > _REMEMBERED:
             bpe.forget()
+        if len(arcs_at) > _REMEMBERED:
+            arcs_at.clear()
         follows = bpe.follows
         n, at, last = len(word), 0, ""
         path: list[str] = []
         dead: set[int] = set()
-        size = 0
+        shorter_than = n + 1
         while at < n:
             after = follows.get(last)
             if after is None:
                 after = follows[last] = {}
-            if not size:
-                size = reach.get(word[at : at + 3], 2)
-                if size > n - at:
-                    size = n - at
-            while size:
-                arc = word[at : at + size]
+            for arc in arcs_at.get(word[at : at + _WINDOW]) or self._arcs(word, at):
+                if dead and (len(arc) >= shorter_than or at + len(arc) in dead):
+                    continue
                 fits = after.get(arc)
                 if fits is None:
-                    fits = after[arc] = self._follows(last, arc)
-                if fits and (not dead or at + size not in dead):
+                    bpe.size += 1
+                    fits = after[arc] = not last or bpe.joins(last, arc)
+                if fits:
+                    path.append(arc)
+                    last = arc
+                    at += len(arc)
+                    shorter_than = n + 1
                     break
-                size -= 1
-            if size:
-                path.append(arc)
-                last = arc
-                at += size
-                size = 0
-                continue
-            while not size:  # no way on: back to the place before, and a shorter arc from there
+            else:  # no way on: back to the place before, and a shorter arc from there
                 dead.add(at)
-                arc = path.pop()
-                at, size = at - len(arc), len(arc) - 1
-            last = path[-1] if path else ""
+                shorter_than = len(path[-1])
+                at -= len(path.pop())
+                last = path[-1] if path else ""
         return bpe.absorbed(path) if bpe.last and MARK * 2 in word else path
 
-    def _follows(self, last: str, arc: str) -> bool:
-        self.bpe.size += 1
-        return (arc in self.cost or len(arc) == 1) and (not last or self.bpe.joins(last, arc))
-
-    def _resolved(self, path: list[int]) -> list[int]:
-        """Unknown characters as bytes, or as one unknown id a run."""
-        if min(path, default=0) >= 0:
-            return path
-        out: list[int] = []
-        for k, i in enumerate(path):
-            if i >= 0:
-                out.append(i)
-            elif self.byte_ids:
-                out += [self.byte_ids[b] for b in chr(-1 - i).encode()]
-            elif k == 0 or path[k - 1] >= 0:
-                out.append(self.unk)
-        return out
+    def _arcs(self, word: str, at: int) -> tuple[str, ...]:
+        """The arcs from a place, longest first; remembered if the next few characters decide them."""
+        node, found = self.trie, []
+        for k in range(at, len(word)):
+            node = node.get(word[k])
+            if node is None:
+                break
+            if "" in node:
+                found.append(node[""])
+        else:
+            k = len(word)
+        if not found or len(found[0]) > 1:
+            found.insert(0, word[at])  # a character of no piece: bytes or unknown
+        arcs = tuple(reversed(found))
+        if k - at < _WINDOW:
+            self.arcs_at[word[at : at + _WINDOW]] = arcs
+        return arcs
+
+    def _unknown(self, path: list[int]) -> list[int]:
+        """Each run of unknown characters as one unknown id."""
+        return [i if i >= 0 else self.unk for k, i in enumerate(path) if i >= 0 or k == 0 or path[k - 1] >= 0]
 
     def _words(self, text: str, out: list[int]) -> None:
         known = self._known
         for word in self._split(text):
-            ids = known.get(word)
+            ids = known[word]
             if ids is None:
                 ids = self._path(word)
                 if len(word) <= _LONGEST:
-                    if len(known) > _REMEMBERED:
-                        known.clear()
-                    known[word] = ids
+                    known.keep(word, ids)
             out += ids
 
     def _split(self, text: str) -> list[str]:
@@ -339,7 +391,7 @@ class Transducer:
             out.append(self.id_of[m[0]])
             at = m.end()
         self._words(text[at:] if at else text, out)
-        return self._resolved(out)
+        return out if self.byte_ids else self._unknown(out)
 
     def decode(self, ids: list[int]) -> str:
         out: list[str] = []
