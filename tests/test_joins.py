@@ -1,4 +1,3 @@
-import difflib
 import random
 
 import numpy as np
@@ -61,17 +60,29 @@ def test_linked_station_example(spark):
     assert spatial.nearest(bike, stations, 500, ("la", "lo"), ("ra", "ro"), "s").first()["nearest_key"] == 101
 
 
-@pytest.mark.parametrize("small_list", [2000, 10])
-def test_closest_name_matches_difflib(spark, small_list):
-    """Both ways, the shipped list and the character join, give difflib's best match."""
+def test_closest_name_matches_all_pairs(spark):
+    """The character join loses no pair at or above the cutoff."""
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    def best(name):
+        scored = [(1 - distance(name, o) / max(len(name), len(o)), o) for o in options]
+        return max([x for x in scored if x[0] >= 0.6], default=(0, "unknown"))[1]
+
     rnd = random.Random(5)
     options = sorted({"".join(rnd.choice("abcde ") for _ in range(rnd.randint(2, 12))).strip() or "x" for _ in range(80)})
     typed = ["".join(rnd.choice("abcde ") for _ in range(rnd.randint(1, 14))) for _ in range(120)]
     df = spark.createDataFrame([(t,) for t in typed], "typed string")
     dim = spark.createDataFrame([(o,) for o in options], "name string")
-    got = {r["typed"]: r["match"] for r in joins.closest_name(df, "typed", dim, "name", small_list=small_list).collect()}
+    got = {r["typed"]: r["match"] for r in joins.closest_name(df, "typed", dim, "name").collect()}
     for t in typed:
-        assert got[t] == (difflib.get_close_matches(t, options, 1, 0.6) or ["unknown"])[0], t
+        assert got[t] == best(t), t
 
 
 def test_intervals_later_rows_win(spark, rows):

@@ -110,10 +110,15 @@ def built_head_count(t: Tables):
     return builders.fact_department(_head_count(t), _departments(t).filter("department_name <> 'MACHINERY'"))
 
 
+def _later(t: Tables):
+    """Orders with two-digit years that stand for 2000 and later."""
+    return t.orders.withColumn("o_orderdate", F.col("o_orderdate") + F.make_ym_interval(F.lit(20)))
+
+
 def _commutes(t: Tables):
-    """Orders since 2000 per customer and month in wide reimbursement form, decimal comma."""
+    """Orders, twenty years later, per customer and month in wide reimbursement form, decimal comma."""
     months = F.array(*map(F.lit, ["jan", "feb", "mrt", "apr", "mei", "jun", "jul", "aug", "sep", "okt", "nov", "dec"]))
-    rows = t.orders.filter("year(o_orderdate) >= 2000").join(t.customer.select("c_custkey", "c_mktsegment", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = _later(t).join(t.customer.select("c_custkey", "c_mktsegment", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     named = rows.select(
         F.col("o_custkey").alias("PersoneelsID"), F.col("c_mktsegment").alias("Entiteit"), F.concat(F.lit("Campus "), "c_nationkey").alias("Hoofdcampus"),
         F.concat(F.get(months, F.month("o_orderdate") - 1), F.lit("/"), F.date_format("o_orderdate", "yy")).alias("periode"), "o_orderdate", "o_totalprice",
@@ -134,7 +139,7 @@ def _commute_parts(t: Tables):
     "built_staff",
     "B11 S7 U1 C2 P10",
     """SELECT DISTINCT o_custkey::VARCHAR AS staff_id, k AS department_key, CASE WHEN o_custkey % 4 > 0 THEN 'Campus ' || c_nationkey END AS campus FROM orders JOIN customer ON o_custkey = c_custkey
-      JOIN (SELECT c_mktsegment AS s, min(c_custkey)::INT AS k FROM customer GROUP BY 1) ON s = c_mktsegment WHERE year(o_orderdate) >= 2000 AND o_custkey % 5 > 0""",
+      JOIN (SELECT c_mktsegment AS s, min(c_custkey)::INT AS k FROM customer GROUP BY 1) ON s = c_mktsegment WHERE o_custkey % 5 > 0""",
 )
 def built_staff(t: Tables):
     existing = t.customer.filter("c_custkey % 5 = 0").select(F.col("c_custkey").cast("string").alias("staff_id"))
@@ -145,12 +150,12 @@ def built_staff(t: Tables):
 @query(
     "built_staff_commute",
     "B17 U1 U3 P7 P17 F20 C3 C5",
-    f"""WITH d AS (SELECT o_custkey, o_orderdate AS day, sum(round(o_totalprice / 100)::BIGINT) AS km FROM orders WHERE year(o_orderdate) >= 2000 GROUP BY 1, 2)
+    f"""WITH d AS (SELECT o_custkey, o_orderdate + INTERVAL 20 YEAR AS day, sum(round(o_totalprice / 100)::BIGINT) AS km FROM orders GROUP BY 1, 2)
     SELECT (o_custkey + 100000)::INT AS staff_key, {date_key_sql('day')} AS date_key, ['jan','feb','mrt','apr','mei','jun','jul','aug','sep','okt','nov','dec'][month(day)] || '/' || strftime(day, '%y') AS period, (km + 0.5)::DOUBLE AS distance_km FROM d WHERE o_custkey % 3 > 0""",
 )
 def built_staff_commute(t: Tables):
     staff = t.customer.filter("c_custkey % 3 > 0").select((F.col("c_custkey") + 100000).cast("int").alias("staff_key"), F.col("c_custkey").alias("staff_id"))
-    span = t.orders.agg(F.min("o_orderdate").cast("date").alias("lo"), F.max("o_orderdate").cast("date").alias("hi"))
+    span = _later(t).agg(F.min("o_orderdate").cast("date").alias("lo"), F.max("o_orderdate").cast("date").alias("hi"))
     day = F.explode(F.sequence("lo", "hi", F.expr("interval 1 day")))
     calendar = span.select(day.alias("d")).select(
         (F.year("d") * 10000 + F.month("d") * 100 + F.dayofmonth("d")).alias("date_key"), F.dayofmonth("d").alias("day_of_month"), F.month("d").alias("month"), F.year("d").alias("year")
@@ -174,12 +179,13 @@ def _registrations(t: Tables):
 @query(
     "built_students",
     "B12 F2 P10 C2 P9",
-    "SELECT DISTINCT 'Student ' || user_id AS student_name, 10 AS department_key FROM events WHERE user_id % 3 > 0",
+    """SELECT DISTINCT 'Student ' || user_id AS student_name, (SELECT min(c_custkey)::INT FROM customer WHERE c_mktsegment = 'BUILDING') AS department_key
+    FROM events WHERE user_id % 3 > 0""",
 )
 def built_students(t: Tables):
-    departments = _departments(t).limit(1).select(F.lit("DIT").alias("department_name"), F.lit(10).alias("department_key"))
+    departments = _departments(t)
     existing = t.events.filter("user_id % 3 = 0").select(F.concat(F.lit("Student "), F.col("user_id").cast("string")).alias("student_name"))
-    return builders.dim_student(_registrations(t), departments, existing)
+    return builders.dim_student(_registrations(t), departments, existing, "BUILDING")
 
 
 @query(
@@ -337,14 +343,14 @@ def built_bike_stations(t: Tables):
 @query(
     "built_rail_stations",
     "B7 S6 F3 C11 P10 C5 C15 J2",
-    f"""SELECT * FROM (SELECT s_suppkey::VARCHAR AS uri, s_name AS station_name, {_spot_sql('s_suppkey', 'location_key')} FROM supplier) x WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey % 50 = 0 AND
+    f"""SELECT * FROM (SELECT s_suppkey::VARCHAR AS uri, s_name AS station_name, {_spot_sql('s_suppkey', 'location_key')} FROM supplier) x WHERE EXISTS (SELECT 1 FROM customer WHERE
       {DISTANCE.format(a=LAT.format('c_custkey'), b=LON.format('c_custkey'), c=LAT.format('x.uri::BIGINT'), d=LON.format('x.uri::BIGINT'))} <= 500)""",
 )
 def built_rail_stations(t: Tables):
     rail = t.supplier.select(
         F.concat(F.lit("http://irail.be/stations/NMBS/"), F.col("s_suppkey").cast("string")).alias("URI"), F.col("s_name").alias("name"), lat("s_suppkey").alias("latitude"), lon("s_suppkey").alias("longitude"), "s_suppkey"
     )
-    bikes = t.customer.filter("c_custkey % 50 = 0").select(lat("c_custkey").alias("latitude"), lon("c_custkey").alias("longitude"))
+    bikes = t.customer.select(lat("c_custkey").alias("latitude"), lon("c_custkey").alias("longitude"))
     out = builders.dim_station(rail, bikes, _geocodes(rail, "s_suppkey", "latitude", "longitude"), _locations(t))
     return out.select("uri", "station_name", "location_key")
 

@@ -208,7 +208,7 @@ def location_cascade(t: Tables):
 @query(
     "names_within_names",
     "C16 C24",
-    """WITH m AS (SELECT p_partkey, p_size, p_name FROM part WHERE p_partkey % 2 = 0), s AS (SELECT s_suppkey, (s_suppkey % 50)::INT AS p_size,
+    """WITH m AS (SELECT p_partkey, p_size, p_name FROM part), s AS (SELECT s_suppkey, (s_suppkey % 50)::INT AS p_size,
       'depot ' || CASE WHEN s_suppkey % 3 = 0 THEN 'RED WIDGET' WHEN s_suppkey % 3 = 1 THEN 'small yard' ELSE 'Hot Gear' END AS place FROM supplier),
     h AS (SELECT s_suppkey, p_name, p_partkey, contains(lower(place), p_name) AS whole FROM s JOIN m USING (p_size)
       WHERE contains(lower(place), p_name) OR contains(lower(place), string_split(p_name, ' ')[1]) OR contains(lower(place), string_split(p_name, ' ')[2]))
@@ -218,16 +218,24 @@ def names_within_names(t: Tables):
     k = F.col("s_suppkey")
     place = F.when(k % 3 == 0, "RED WIDGET").when(k % 3 == 1, "small yard").otherwise("Hot Gear")
     sites = t.supplier.select("s_suppkey", (k % 50).cast("int").alias("p_size"), F.concat(F.lit("depot "), place).alias("place"))
-    towns = t.part.filter("p_partkey % 2 = 0").select("p_size", "p_name", "p_partkey")
+    towns = t.part.select("p_size", "p_name", "p_partkey")
     once = joins.named_within(sites, "place", towns, ["p_size"], "p_name", "p_partkey", "any_first")
     both = joins.named_within(once, "place", towns, ["p_size"], "p_name", "p_partkey", "whole_first", whole_first=True)
     return both.select("s_suppkey", "any_first", "whole_first")
 
 
-@query("closest_names", "C17 F33 F28")
+@query(
+    "closest_names",
+    "C17 F33 F28",
+    """WITH typed AS (SELECT p_partkey, substr(p_name, 2) || 's ' AS typed FROM part),
+    scored AS (SELECT a.typed, b.p_name, 1 - levenshtein(a.typed, b.p_name) / greatest(length(a.typed), length(b.p_name))::DOUBLE AS score
+      FROM (SELECT DISTINCT typed FROM typed) a, (SELECT DISTINCT p_name FROM part) b),
+    best AS (SELECT typed, max_by(p_name, (score, p_name)) AS match FROM scored WHERE score >= 0.6 GROUP BY 1)
+    SELECT p_partkey, typed, coalesce(match, 'unknown') AS match FROM typed LEFT JOIN best USING (typed)""",
+)
 def closest_names(t: Tables):
-    """Typed station names against the part names; the ratio has no SQL equivalent."""
-    typed = t.part.select("p_partkey", F.concat(F.substring("p_name", 2, 100), F.lit("s ")).alias("typed"))
+    """Typed station names against the part names."""
+    typed = t.part.select("p_partkey", F.concat(F.substr("p_name", F.lit(2)), F.lit("s ")).alias("typed"))
     return joins.closest_name(typed, "typed", t.part, "p_name")
 
 

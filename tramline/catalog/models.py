@@ -29,25 +29,29 @@ def forest_importances(t: Tables):
     return table
 
 
+_WEATHER = ["temp", "rain", "wind", "sun", "highest", "lowest", "spread"]
+
+
 def _days_of_weather(t: Tables):
     """Line items per ship day as daily weather with its month as class 0..11."""
     day = F.col("l_shipdate").cast("date")
     daily = t.lineitem.groupBy(day.alias("day")).agg(
-        F.avg("l_quantity").alias("temp"), F.avg("l_discount").alias("rain"), F.avg("l_tax").alias("wind"), F.count(F.lit(1)).cast("double").alias("sun")
-    )
-    labelled = daily.select("*", (F.month("day") - 1).alias("label"), (F.cos(F.month("day") / 6 * 3.14159) * 10 + F.col("temp")).alias("felt"))
+        F.avg("l_quantity").alias("temp"), F.avg("l_discount").alias("rain"), F.avg("l_tax").alias("wind"), F.count(F.lit(1)).cast("double").alias("sun"),
+        F.max("l_extendedprice").alias("highest"), F.min("l_extendedprice").alias("lowest"), F.stddev_pop("l_quantity").alias("spread"),
+    )
+    labelled = daily.select("*", (F.month("day") - 1).alias("label")).fillna(0.0)
     return stats.random_split(labelled, "day", classes=["label"])
 
 
 @query("month_classifier_errors", "N9 N10 N12 F27")
 def month_classifier_errors(t: Tables):
-    scored, _ = models.forest_classification(_days_of_weather(t), ["felt", "temp", "rain", "wind", "sun"], "label", "is_train", trees=20, depth=6)
+    scored, _ = models.forest_classification(_days_of_weather(t), _WEATHER, "label", "is_train", trees=20, depth=6)
     return models.circular_errors(scored, "label")
 
 
 @query("month_classifier_report", "N13 A21 A22")
 def month_classifier_report(t: Tables):
-    scored, _ = models.forest_classification(_days_of_weather(t), ["felt", "temp", "rain", "wind", "sun"], "label", "is_train", trees=10, depth=5)
+    scored, _ = models.forest_classification(_days_of_weather(t), _WEATHER, "label", "is_train", trees=10, depth=5)
     return aggregates.class_report(scored, "label", "predicted")
 
 
@@ -58,7 +62,7 @@ def isolation_forest_labels(t: Tables):
     split = windows.chronological_split(daily.withColumn("year", F.year("day")), [], ["day"], split=["year"])
     scaled = stats.standardise(split, ["total", "n"], "is_train")
     proxied = stats.outside_fences(scaled, scaled.filter("is_train"), "total", "proxy")
-    scored = models.isolation_forest(proxied, "day", ["total", "n"], "is_train", 0.05, trees=50)
+    scored = models.isolation_forest(proxied, "day", ["total", "n"], "is_train", 0.05, trees=100)
     return aggregates.binary_scores(scored, "proxy", "anomaly", ["is_train"])
 
 
@@ -72,7 +76,7 @@ def _profile(t: Tables):
 
 @query("cluster_sweep", "N14")
 def cluster_sweep(t: Tables):
-    return models.kmeans_sweep(_profile(t), _PROFILE, range(1, 6))
+    return models.kmeans_sweep(_profile(t), _PROFILE, range(1, 10))
 
 
 @query("cluster_profiles", "N15 N14 N11 M15 N2")

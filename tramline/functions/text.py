@@ -10,7 +10,7 @@ def title_case(text: Column) -> Column:
     """Capitalise every run of letters, lower-case the rest ('x_CITY-a' to 'X_City-A')."""
     runs = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
     return F.array_join(
-        F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substring(run, 2, 1_000_000))),
+        F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substr(run, F.lit(2)))),
         "",
     )
 

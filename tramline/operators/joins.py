@@ -7,11 +7,9 @@ splitting skewed partitions.
 
 from __future__ import annotations
 
-import difflib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,33 +169,23 @@ def location_cascade(df: DataFrame, locations: DataFrame, name: str | None = Non
 # --- closest name -------------------------------------------------------------------------
 
 _CUTOFF = 0.6
-_SMALL_LIST = 2_000
 
 
-def _ratio(a: str, b: str) -> float:
-    return difflib.SequenceMatcher(None, b, a).ratio()
+def closest_name(df: DataFrame, column: str, options: DataFrame, option: str, out: str = "match", unknown: str = "unknown") -> DataFrame:
+    """The option most like the name, with a similarity of at least 0.6, else ``unknown``.
 
-
-def closest_name(
-    df: DataFrame, column: str, options: DataFrame, option: str, out: str = "match", unknown: str = "unknown",
-    small_list: int = _SMALL_LIST,
-) -> DataFrame:
-    """Best candidate with a similarity ratio of at least 0.6, else ``unknown``.
-
-    Each distinct name is compared once. A candidate list of at most ``small_list`` names
-    travels to the tasks; a longer one is joined on shared characters (see
-    ``_candidate_pairs``), which loses no pair at or above the cutoff. Equal ratios go to
-    the alphabetically last candidate.
+    Similarity is 1 less the edit distance over the longer length. Each distinct name is compared once,
+    with the options it can reach (see ``_candidate_pairs``); equal similarities go to the
+    alphabetically last option.
     """
     names = df.select(F.col(column).alias("__name")).filter(F.col("__name").isNotNull()).distinct()
     listed = options.select(F.col(option).alias("__option")).filter(F.col("__option").isNotNull()).distinct()
-    head = [r[0] for r in listed.limit(small_list + 1).collect()]
-    if len(head) <= small_list:
-        pairs = names.mapInPandas(_best_of(sorted(head)), "__name string, __option string, __score double")
-    else:
-        pairs = _candidate_pairs(names, listed).mapInPandas(_score_pairs, "__name string, __option string, __score double")
+    longer = F.greatest(F.length("__name"), F.length("__option"), F.lit(1))
+    score = 1 - F.levenshtein("__name", "__option") / longer.cast("double")
     best = (
-        pairs.filter(F.col("__score") >= _CUTOFF)
+        _candidate_pairs(names, listed)
+        .withColumn("__score", score)
+        .filter(F.col("__score") >= _CUTOFF)
         .groupBy("__name")
         .agg(F.max_by("__option", F.struct("__score", "__option")).alias(out))
     )
@@ -205,35 +193,29 @@ def closest_name(
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(unknown)))
 
 
-def _best_of(candidates: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(n, c, _ratio(n, c)) for n in batch["__name"] for c in difflib.get_close_matches(n, candidates, 1, _CUTOFF)]
-            yield pd.DataFrame(rows, columns=["__name", "__option", "__score"])
-
-    return run
-
-
-def _score_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(__score=[_ratio(a, b) for a, b in zip(batch["__name"], batch["__option"], strict=True)])
-
-
 def _candidate_pairs(names: DataFrame, options: DataFrame) -> DataFrame:
-    """Pairs that can reach the cutoff, by prefix filtering on characters.
+    """Pairs that can reach the cutoff: the rarest characters of both must meet, and the lengths must be near.
 
-    ratio = 2*M/(a+b) >= 0.6 needs M >= 0.3*(a+b) common characters, and since M <= min(a, b)
-    the lengths differ by a factor of at most 7/3. So a name of length n shares at least
-    ceil(3n/7) characters (counted with repetition) with any partner, and two such names must
-    meet within the first n - ceil(3n/7) + 1 characters of each in one fixed order.
+    An edit distance of at most 0.4 n, n the longer length, leaves at least 0.6 n characters (counted with
+    repetition) in common. So each shares at least 0.6 of its own characters with any partner, and in one order of all
+    characters two partners meet within the first ``length - ceil(0.6 length) + 1`` of each. Rare
+    characters come first in that order, so that few pairs meet; how often each occurs is counted in the data.
     """
 
-    def prefixed(df: DataFrame, col: str) -> DataFrame:
+    def characters(df: DataFrame, col: str) -> DataFrame:
         chars = F.array_sort(F.filter(F.split(F.col(col), ""), lambda c: c != ""))
         tagged = F.transform(chars, lambda c, i: F.struct(c.alias("c"), (i - F.array_position(chars, c) + 1).alias("k")))
-        n = F.size(chars)
-        return df.select(col, n.alias(f"{col}_n"), F.explode(F.slice(tagged, F.lit(1), n - F.ceil(n * 3 / 7).cast("int") + 1)).alias("t"))
+        return df.select(col, F.explode(tagged).alias("t"))
+
+    ours, theirs = characters(names, "__name"), characters(options, "__option")
+    often = ours.select("t").union(theirs.select("t")).groupBy("t").agg(F.count(F.lit(1)).alias("__often"))
+
+    def prefixed(found: DataFrame, col: str) -> DataFrame:
+        ranked = found.join(often, "t").groupBy(col).agg(F.array_sort(F.collect_list(F.struct("__often", "t"))).alias("__order"))
+        n = F.size("__order")
+        first = F.slice("__order", F.lit(1), (n - F.ceil(n * 3 / 5) + 1).cast("int"))
+        return ranked.select(col, F.explode(F.transform(first, lambda x: x.t)).alias("t"))
 
-    a, b = prefixed(names, "__name"), prefixed(options, "__option")
-    shorter, longer = F.least("__name_n", "__option_n"), F.greatest("__name_n", "__option_n")
-    return a.join(b, "t").filter(shorter * 7 >= longer * 3).select("__name", "__option").distinct()
+    shorter = F.least(F.length("__name"), F.length("__option"))
+    longer = F.greatest(F.length("__name"), F.length("__option"))
+    return prefixed(ours, "__name").join(prefixed(theirs, "__option"), "t").filter(shorter * 5 >= longer * 3).select("__name", "__option").distinct()

@@ -110,11 +110,11 @@ def interpolate(series: DataFrame, keys: Names, order: str, value: str, out: str
     """
     w = Window.partitionBy(*keys).orderBy(order)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
     placed = series.withColumn("__i", F.row_number().over(w))
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("__i").alias("i"), F.col(value).alias("v")))
     placed = placed.withColumns(
-        {"__a": F.last(known, ignorenulls=True).over(back), "__b": F.first(known, ignorenulls=True).over(ahead)}
+        {"__a": F.last(known, ignorenulls=True).over(back), "__b": F.last(known, ignorenulls=True).over(ahead)}
     )
     step = F.col("__i") - F.col("__a.i")
     line = F.col("__a.v") + (F.col("__b.v") - F.col("__a.v")) * step / F.nullifzero(F.col("__b.i") - F.col("__a.i"))
@@ -126,5 +126,5 @@ def interpolate(series: DataFrame, keys: Names, order: str, value: str, out: str
 
 def back_fill(series: DataFrame, keys: Names, order: str, value: str, out: str) -> DataFrame:
     """NULLs take the next known value."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
-    return series.withColumn(out, F.first(value, ignorenulls=True).over(w))
+    w = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return series.withColumn(out, F.last(value, ignorenulls=True).over(w))

@@ -31,8 +31,8 @@ Names = Sequence[str]
 
 def hot_keys(df: DataFrame, keys: Names, share: float | None = None) -> DataFrame:
     """Keys with more than ``share`` of all rows; fewer than ``1 / share`` rows by construction."""
-    total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
     return counts.filter(F.col("__n") > total * F.lit(HOT_SHARE if share is None else share)).select(*keys)
 
 

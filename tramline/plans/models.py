@@ -12,7 +12,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -97,21 +97,20 @@ def _average_path(n):
 def tree_samples(df: DataFrame, id_column: str, features: Names, trees: int, sample: int, seed: int) -> DataFrame:
     """``sample`` rows per tree, chosen by hash. A row may serve several trees.
 
-    Every row draws once; survivors are enough for 1.5 times all samples. With few rows the
-    draw keeps everything and each row is offered to every tree. ``sample`` rows with the
-    smallest hash per tree are kept; Spark cuts to that many per task before the shuffle.
+    Every row draws for every tree, at a rate that leaves about 1.5 times the sample (all rows, if
+    there are fewer); of these the ``sample`` rows with the smallest draw are kept.
     """
     from pyspark.sql import Window
 
     total = df.agg(F.count(F.lit(1))).scalar()
-    unit = (F.xxhash64(F.lit(seed), F.col(id_column)) / 2.0**64) + 0.5
-    keep = F.lit(1.5 * trees * sample) / total
-    drawn = df.select(id_column, *features, keep.alias("__keep")).filter(unit < F.col("__keep"))
-    one = F.array(F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_column)), F.lit(trees)).cast("int"))
-    every = F.sequence(F.lit(0), F.lit(trees - 1))
-    offered = drawn.withColumn("tree", F.explode(F.when(F.col("__keep") < 1, one).otherwise(every)))
-    w = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", id_column), id_column)
-    return offered.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= sample).drop("__r", "__keep")
+
+    def draw(tree: Column) -> Column:
+        return F.xxhash64(F.lit(seed), tree, F.col(id_column)) / 2.0**64 + 0.5
+
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < F.col("__rate"))
+    offered = df.select(id_column, *features, (F.lit(1.5 * sample) / total).alias("__rate")).withColumn("tree", F.explode(drawn))
+    w = Window.partitionBy("tree").orderBy(draw(F.col("tree")), id_column)
+    return offered.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= sample).drop("__r", "__rate")
 
 
 def grow_forest(df: DataFrame, id_column: str, features: Names, trees: int = 100, sample: int = SAMPLE, seed: int = 42) -> DataFrame:
