@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.batches import small
+
 #: A class is large with so many tokens, occurs on this share of a host's pages; a host teaches with so many pages.
 TOKENS, SHARE, PAGES = 3, 0.1, 4
 
@@ -252,6 +254,7 @@ def blocks(page: str, template: dict[int, tuple[int, int]]) -> list[str]:
 
 def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """All columns and ``text``: the main text, blocks joined by two line ends."""
+    small(pages.sparkSession)
     rest = pages.select(*[c for c in pages.columns if c != "text"], host(F.col(url)).alias("page__host"))
     found = templates(rest.select(F.col("page__host").alias("host"), F.col(page).alias("html"))).withColumnRenamed("host", "page__of")
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.llm.batches import small
 from tramline.llm.sampling import bounded
 
 ORDER = 3
@@ -187,6 +188,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     rest = docs.select(*[c for c in docs.columns if c not in ("lang_pred", "score", "bits")])
     if model is None:
         return rest.select("*", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits"))
+    small(docs.sparkSession)
     shared = _shared(docs.sparkSession, model)
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64())])
 

@@ -33,6 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.batches import small
 from tramline.llm.components import components
 from tramline.session import cut_lineage
 
@@ -390,6 +391,7 @@ def _links(docs: DataFrame, sketches: DataFrame, weights: Weights, least: float)
 def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, node, root (what a class shares) and class_id."""
     plain = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
+    small(docs.sparkSession)
     weights = weigh(plain)
     sketches = cut_lineage(plain.select("doc_id", node(F.col("text")).alias("node"), keys(F.col("text"), weights).alias("bands")))
     links = _links(plain.select(node(F.col("text")).alias("node"), "text"), sketches.select("node", "bands"), weights, least)

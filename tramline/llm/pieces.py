@@ -36,9 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.batches import small
+
 MARK = "▁"
 #: Words and pairs remembered by a worker before its memory starts afresh, and the longest word remembered.
-_REMEMBERED, _LONGEST = 200_000, 48
+_REMEMBERED, _LONGEST = 120_000, 48
 #: Characters that mostly decide which arcs start at a place.
 _WINDOW = 6
 # Types of pieces and model types in a SentencePiece model file.
@@ -436,6 +438,7 @@ def transducer(path: str) -> Transducer:
 
 def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -> DataFrame:
     """All columns and ``into``: the ids of ``text``. ``model`` is a path every worker can open."""
+    small(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:

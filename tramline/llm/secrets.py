@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.batches import small
 from tramline.llm.sampling import bounded
 
 # The base patterns, which part must have how many characters, and the order of kinds.
@@ -223,6 +224,7 @@ def learn(docs: DataFrame, doc: str = "doc_id", text: str = "text", documents: i
 def scan(docs: DataFrame, formats: Formats, text: str = "text", least_gain: float = 16.0) -> DataFrame:
     """All columns and ``found``: array of kind, start, end (code points, end exclusive) by start, then kind."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    small(docs.sparkSession)
     names = [*KINDS, FORMAT]
 
     @F.arrow_udf("array<struct<kind:string,start:int,end:int>>")
