@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import ann, chat, html_text, language, mixing, neardup, pieces, pigeonhole, secrets
+from tramline.llm import ann, chat, html_text, language, mixing, neardup, pieces, pigeonhole, secrets, warc
 from tramline.session import table
 
 
@@ -60,6 +60,36 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs.drop("lang"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits")
 
 
+def page_records(pages: DataFrame) -> DataFrame:
+    """Every page as a full response, and as a not-modified answer a day later.
+
+    One in ten answers has another entity tag, one in ten comes before its response.
+    """
+    k = F.col("page_id")
+    base = F.timestamp_seconds(k * 60)
+    text = F.coalesce("html", F.lit(""))
+    tag = F.md5(text)
+    response = pages.select(
+        (2 * k).alias("record_id"), "url", F.lit(False).alias("is_revisit"), base.alias("date"), F.lit(None).cast("string").alias("digest"),
+        F.create_map(F.lit("ETag"), F.concat(F.lit("W/"), tag), F.lit("Content-Length"), F.length(text).cast("string"), F.lit("Age"), F.lit("0")).alias("headers"),
+        "html",
+    )
+    late = F.when(k % 10 == 7, F.timestamp_seconds(k * 60 - 86_400_000)).otherwise(F.timestamp_seconds(k * 60 + 30))
+    revisit = pages.select(
+        (2 * k + 1).alias("record_id"), "url", F.lit(True).alias("is_revisit"), late.alias("date"), F.lit(None).cast("string").alias("digest"),
+        F.create_map(F.lit("etag"), F.when(k % 10 == 3, "other").otherwise(tag), F.lit("content-length"), F.lit("0"), F.lit("age"), (k % 7).cast("string")).alias("headers"),
+        F.lit(None).cast("string").alias("html"),
+    )
+    return response.union(revisit).withColumnRenamed("html", "payload")
+
+
+def op7_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's not-modified answer resolved to a full response."""
+    found = warc.resolve(page_records(table(spark, folder, "pages")))
+    header = lambda k: F.col("headers")[k].alias(k.replace("-", "_"))
+    return found.select("record_id", "resolved_id", "status", header("etag"), header("content-length"), header("age"), F.length("payload").cast("bigint").alias("n_chars"))
+
+
 def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of secrets in every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -91,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": op4_source_mixing,
     "op5_embedding_neardup": op5_embedding_neardup,
     "op6_language_id": op6_language_id,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_secret_scans": op8_secret_scans,
     "op9_minhash_neardup": op9_minhash_neardup,
     "op10_html_extraction": op10_html_extraction,
@@ -113,6 +144,22 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sum(upto) FILTER (role = 'assistant' OR k = n)::BIGINT AS formatted_chars,
   (count(*) FILTER (role = 'assistant' OR k = n))::BIGINT AS n_examples
 FROM numbered GROUP BY conv_id""",
+    "op7_warc_revisits": r"""WITH parts AS (
+  SELECT page_id AS k, coalesce(html, '') AS html, regexp_replace(url, '#.*$', '') AS plain FROM pages),
+canon AS (
+  SELECT k, html, regexp_replace(regexp_replace(lower(regexp_extract(plain, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)', 1)), '^(http://.*):80$', '\1'), '^(https://.*):443$', '\1') AS origin,
+    regexp_replace(regexp_replace(plain, '\?.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(plain, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|gclid|fbclid)='))) AS params
+  FROM parts),
+r AS (
+  SELECT k, html, md5(html) AS tag, origin || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS place FROM canon),
+v AS (SELECT *, CASE WHEN k % 10 = 7 THEN k * 60 - 86400000 ELSE k * 60 + 30 END AS at, CASE WHEN k % 10 = 3 THEN 'other' ELSE tag END AS own FROM r),
+f AS (
+  SELECT v.k, v.own, max(x.k) AS hit FROM v LEFT JOIN r x ON x.place = v.place AND x.k * 60 < v.at GROUP BY v.k, v.own),
+g AS (SELECT f.*, x.tag, x.html, CASE WHEN hit IS NULL THEN 'missing' WHEN x.tag = own THEN 'resolved' ELSE 'contradicted' END AS status FROM f LEFT JOIN r x ON x.k = f.hit)
+SELECT 2 * k + 1 AS record_id, CASE WHEN status = 'resolved' THEN 2 * hit END AS resolved_id, status, own AS etag,
+  CASE WHEN status = 'resolved' THEN length(html)::VARCHAR ELSE '0' END AS content_length, (k % 7)::VARCHAR AS age,
+  CASE WHEN status = 'resolved' THEN length(html) END AS n_chars FROM g""",
     "op4_source_mixing": r"""WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
     substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')), 1, 15) AS place FROM documents),
