@@ -40,7 +40,7 @@ from tramline.llm.batches import small
 
 MARK = "▁"
 #: Words and pairs remembered by a worker before its memory starts afresh, and the longest word remembered.
-_REMEMBERED, _LONGEST = 120_000, 48
+_REMEMBERED, _LONGEST = 400_000, 48
 #: Characters that mostly decide which arcs start at a place.
 _WINDOW = 6
 # Types of pieces and model types in a SentencePiece model file.
@@ -222,6 +222,7 @@ class Transducer:
         self.byte_of = {i: b for b, i in byte_ids.items()}
         self.user = re.compile("|".join(sorted((re.escape(p) for p, _, k in pieces if k == _USER), key=len, reverse=True)) or "(?!)")
         self.id_of = {p: i for i, (p, _, kind) in enumerate(pieces) if kind in (_NORMAL, _USER, _UNUSED)}
+        self.code_of = {p: array("i", [i]).tobytes() for p, i in self.id_of.items()}
         spelled = {p: s for p, s, kind in pieces if kind == _NORMAL}
         self.bpe = _Bpe(spelled) if self.model.kind == _BPE else None
         self.least = min(spelled.values(), default=0.0) - 10.0  # score of an unknown character
@@ -238,7 +239,7 @@ class Transducer:
         self.word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.text_of = [self._text(i) for i in range(len(pieces))]
         self._known = _Memory()
-        self.inner = {p[k : k + 2] for p in spelled for k in range(len(p) - 1)}
+        self.inner = {pair for p in spelled for pair in zip(p, p[1:])}
 
     def _text(self, i: int) -> str:
         piece, _, kind = self.model.pieces[i]
@@ -246,35 +247,34 @@ class Transducer:
             return ""
         return self.model.unk_surface if kind == _UNKNOWN else piece.replace(MARK, " ") if self.model.escape else piece
 
-    def _path(self, word: str) -> tuple[int, ...]:
-        """Ids along the shortest path through the word's lattice; without byte fallback, unknown characters as -1 - code point.
+    def _path(self, word: str) -> bytes:
+        """Ids along the shortest path through the word's lattice, as 32-bit integers; without byte fallback, unknown characters as -1 - code point.
 
         Two characters that follow each other in no piece part the lattice: every path passes between them.
         """
         inner = self.inner
-        cuts = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in inner]
-        if not cuts:
+        if inner.issuperset(zip(word, word[1:])):
             return self._part(word)
-        out: list[int] = []
+        out: list[bytes] = []
         known, at = self._known, 0
-        for cut in (*cuts, len(word)):
+        for cut in (*(k for k, pair in enumerate(zip(word, word[1:]), 1) if pair not in inner), len(word)):
             part = word[at:cut]
             ids = known[part]
             if ids is None:
                 ids = self._part(part)
                 if len(part) <= _LONGEST:
                     known.keep(part, ids)
-            out += ids
+            out.append(ids)
             at = cut
-        return tuple(out)
+        return b"".join(out)
 
-    def _part(self, word: str) -> tuple[int, ...]:
+    def _part(self, word: str) -> bytes:
         path = self._only_path(word) if self.bpe else self._best_path(word)
         try:
-            return tuple(map(self.id_of.__getitem__, path))
+            return b"".join(map(self.code_of.__getitem__, path))
         except KeyError:
             ids = [self.id_of.get(piece, -1 - ord(piece[0])) for piece in path]
-            return tuple(self._bytes(ids) if self.byte_ids else ids)
+            return array("i", self._bytes(ids) if self.byte_ids else ids).tobytes()
 
     def _bytes(self, path: list[int]) -> list[int]:
         """Unknown characters as their bytes' ids."""
@@ -363,11 +363,11 @@ class Transducer:
             self.arcs_at[word[at : at + _WINDOW]] = arcs
         return arcs
 
-    def _unknown(self, path: list[int]) -> list[int]:
+    def _unknown(self, path: array) -> list[int]:
         """Each run of unknown characters as one unknown id."""
         return [i if i >= 0 else self.unk for k, i in enumerate(path) if i >= 0 or k == 0 or path[k - 1] >= 0]
 
-    def _words(self, text: str, out: list[int]) -> None:
+    def _words(self, text: str, out: bytearray) -> None:
         known = self._known
         for word in self._split(text):
             ids = known[word]
@@ -385,15 +385,21 @@ class Transducer:
             return (MARK + text[1:].replace(MARK, "\0" + MARK)).split("\0") if "\0" not in text else self.word.findall(text)
         return self.word.findall(text)
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def coded(self, text: str) -> array:
+        """The text's ids."""
+        out = bytearray()
         text, at = self.normalise(text), 0
         for m in self.user.finditer(text):  # user-defined symbols are taken as they are
             self._words(text[at : m.start()], out)
-            out.append(self.id_of[m[0]])
+            out += array("i", [self.id_of[m[0]]]).tobytes()
             at = m.end()
         self._words(text[at:] if at else text, out)
-        return out if self.byte_ids else self._unknown(out)
+        ids = array("i")
+        ids.frombytes(out)
+        return ids if self.byte_ids else array("i", self._unknown(ids))
+
+    def encode(self, text: str) -> list[int]:
+        return self.coded(text).tolist()
 
     def decode(self, ids: list[int]) -> str:
         out: list[str] = []
@@ -445,7 +451,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -
         t = transducer(model)
         values, ends = array("i"), array("i", [0])
         for x in texts:
-            values.extend(t.encode(x.as_py() or ""))
+            values.extend(t.coded(x.as_py() or ""))
             ends.append(len(values))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(values, np.int32)), mask=texts.is_null())
 
