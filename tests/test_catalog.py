@@ -41,3 +41,13 @@ def test_partition_count_does_not_matter(spark, rows, name):
         assert seen[0] == seen[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("name, column", [
+    ("totals_since_start", "o_orderdate"), ("totals_on_day", "o_orderdate"), ("busiest_points", "o_orderdate"),
+    ("wind_of_day", "l_shipdate"), ("availability_last_week", "ts"), ("last_seven_days", "ts"),
+])
+def test_day_range_reaches_the_scan(spark, capsys, name, column):
+    QUERIES[name](spark, FOLDER).explain("formatted")
+    pushed = [x for x in capsys.readouterr().out.splitlines() if x.startswith("PushedFilters")]
+    assert any(f"GreaterThanOrEqual({column}," in x and f"LessThan({column}," in x for x in pushed), pushed

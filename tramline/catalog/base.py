@@ -99,7 +99,7 @@ STAGING = f"""staging AS (
     date_trunc('minute', ts) + to_seconds(floor(value * 10)::INT) AS actual FROM events)"""
 
 RISES = """steps AS (
-  SELECT *, ts::DATE AS day, lag(value) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts) AS prev FROM events),
+  SELECT *, ts::DATE AS day, lag(value) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) AS prev FROM events),
 rises AS (SELECT *, CASE WHEN value > prev THEN value - prev ELSE 0 END AS rise FROM steps)"""
 
 

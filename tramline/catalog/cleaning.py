@@ -60,14 +60,14 @@ def nulls_dropped_filled(t: Tables):
 @query(
     "deduplicated_first_last",
     "P10 W14",
-    """SELECT user_id, event_type, min_by(event_id, ts) AS first_id, max_by(event_id, ts) AS last_id,
-      max_by(value, ts) AS last_value FROM events GROUP BY 1, 2""",
+    """SELECT user_id, event_type, min_by(event_id, row(ts, event_id)) AS first_id, max_by(event_id, row(ts, event_id)) AS last_id,
+      max_by(value, row(ts, event_id)) AS last_value FROM events GROUP BY 1, 2""",
 )
 def deduplicated_first_last(t: Tables):
     keys_ = ["user_id", "event_type"]
     narrow = t.events.select(*keys_, "ts", "event_id", "value")
-    first = joins.first_by(narrow, keys_, ["ts"], ["event_id"]).withColumnRenamed("event_id", "first_id")
-    last = joins.last_by(narrow, keys_, ["ts"]).select(*keys_, F.col("event_id").alias("last_id"), F.col("value").alias("last_value"))
+    first = joins.first_by(narrow, keys_, ["ts", "event_id"], ["event_id"]).withColumnRenamed("event_id", "first_id")
+    last = joins.last_by(narrow, keys_, ["ts", "event_id"]).select(*keys_, F.col("event_id").alias("last_id"), F.col("value").alias("last_value"))
     return first.join(last, keys_)
 
 
@@ -161,8 +161,8 @@ def seasons(t: Tables):
 )
 def last_seven_days(t: Tables):
     as_of = datetime(2024, 1, 20, 15, 40)
-    keyed = t.events.select("event_id", "user_id", keys.date_key(F.col("ts")).alias("d"), keys.time_key(F.col("ts")).alias("c"))
-    return keyed.filter(in_last_days(F.col("d"), F.col("c"), as_of, 7)).select("event_id", "user_id")
+    keyed = t.events.select("event_id", "user_id", "ts", keys.date_key(F.col("ts")).alias("d"), keys.time_key(F.col("ts")).alias("c"))
+    return keyed.filter(in_last_days(F.col("d"), F.col("c"), as_of, 7, F.col("ts"))).select("event_id", "user_id")
 
 
 @query(

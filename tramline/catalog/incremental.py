@@ -32,10 +32,10 @@ def upserted_staging(t: Tables):
 @query(
     "newest_versions",
     "R1 R13 P10",
-    """SELECT user_id, event_type, max(ts) AS ts, max_by(value, ts) AS value FROM events GROUP BY 1, 2""",
+    """SELECT user_id, event_type, max(ts) AS ts, max_by(value, row(ts, event_id)) AS value, max_by(event_id, row(ts, event_id)) AS event_id FROM events GROUP BY 1, 2""",
 )
 def newest_versions(t: Tables):
-    return incremental.newest_version(t.events.select("user_id", "event_type", "ts", "value"), ["user_id", "event_type"], "ts")
+    return incremental.newest_version(t.events.select("user_id", "event_type", "ts", "value", "event_id"), ["user_id", "event_type"], "ts", ["event_id"])
 
 
 @query(

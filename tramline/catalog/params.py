@@ -14,7 +14,7 @@ from tramline.plans import queries
 def _counts(t: Tables):
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return t.orders.select(
-        F.col("o_custkey").alias("counting_point_id"),
+        F.col("o_custkey").alias("counting_point_id"), "o_orderdate",
         keys.date_key(F.col("o_orderdate")).alias("date_key"),
         cents.alias("total"),
         F.when(F.col("o_orderstatus") == "F", cents).otherwise(F.lit(0).cast("bigint")).alias("direction_in"),
@@ -40,7 +40,7 @@ _SUMS = "coalesce(sum(total), 0)::BIGINT AS total, coalesce(sum(direction_in), 0
     ),
 )
 def totals_since_start(t: Tables):
-    frames = [queries.totals_since(_counts(t), 42, p, date(1999, 8, 18), _points(t)) for p in ("day", "week", "month", "year")]
+    frames = [queries.totals_since(_counts(t), 42, p, date(1999, 8, 18), _points(t), moment="o_orderdate") for p in ("day", "week", "month", "year")]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -53,7 +53,7 @@ def totals_since_start(t: Tables):
     f"WITH {_COUNTS} SELECT 42 AS counting_point_id, DATE '1998-10-03' AS day, {_SUMS} FROM counts WHERE counting_point_id = 42 AND date_key = 19981003",
 )
 def totals_on_day(t: Tables):
-    return queries.totals_on(_counts(t), 42, date(1998, 10, 3), date(1999, 1, 1), _points(t))
+    return queries.totals_on(_counts(t), 42, date(1998, 10, 3), date(1999, 1, 1), _points(t), moment="o_orderdate")
 
 
 @query(
@@ -64,11 +64,11 @@ def totals_on_day(t: Tables):
 )
 def wind_of_day(t: Tables):
     weather = t.lineitem.select(
-        F.col("l_suppkey").alias("weather_station_key"), keys.date_key(F.col("l_shipdate")).alias("date_key"),
+        F.col("l_suppkey").alias("weather_station_key"), "l_shipdate", keys.date_key(F.col("l_shipdate")).alias("date_key"),
         (F.col("l_discount") * 100).alias("wind_speed_10m"), F.col("l_quantity").alias("wind_gusts_speed"),
     )
     stations = t.supplier.select(F.col("s_suppkey").cast("string").alias("weather_station_id"), F.col("s_name").alias("name"))
-    out = queries.wind_for_day(weather, stations, "7", date(1998, 3, 4), date(2000, 1, 1))
+    out = queries.wind_for_day(weather, stations, "7", date(1998, 3, 4), date(2000, 1, 1), "l_shipdate")
     return out.withColumn("avg_wind_speed_10m", F.round(F.col("avg_wind_speed_10m").cast("double"), 6))
 
 
@@ -80,10 +80,10 @@ def wind_of_day(t: Tables):
 )
 def availability_last_week(t: Tables):
     gauge = t.events.select(
-        F.col("user_id").alias("bike_station_key"), keys.date_key(F.col("ts")).alias("date_key"), keys.time_key(F.col("ts")).alias("time_key"), F.col("value").alias("total_available")
+        F.col("user_id").alias("bike_station_key"), "ts", keys.date_key(F.col("ts")).alias("date_key"), keys.time_key(F.col("ts")).alias("time_key"), F.col("value").alias("total_available")
     )
     stations = t.customer.select(F.col("c_custkey").alias("bike_station_key"), F.col("c_name").alias("location_name"))
-    return queries.availability_window(gauge, stations, 7, datetime(2024, 1, 20, 15, 40))
+    return queries.availability_window(gauge, stations, 7, datetime(2024, 1, 20, 15, 40), moment="ts")
 
 
 @query(
@@ -107,7 +107,7 @@ def point_listing(t: Tables):
     SELECT counting_point_id, c_name AS counting_point_name, total FROM d JOIN customer ON c_custkey = counting_point_id ORDER BY total DESC, 1 LIMIT 10""",
 )
 def busiest_points(t: Tables):
-    return queries.top_points(_counts(t), _points(t), date(1998, 10, 3), 10, date(1999, 1, 1))
+    return queries.top_points(_counts(t), _points(t), date(1998, 10, 3), 10, date(1999, 1, 1), moment="o_orderdate")
 
 
 @query("point_detail", "Q10", "SELECT * FROM customer WHERE c_custkey = 42")

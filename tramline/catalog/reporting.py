@@ -22,7 +22,7 @@ def _rounded(df, **digits: int):
 )
 def daily_rises(t: Tables):
     """Flagship: estimated events per station and day from a gauge."""
-    out = reports.daily_rises(t.gauge, "user_id", "ts", "value", ["minute"])
+    out = reports.daily_rises(t.gauge, "user_id", "ts", "value", ["minute"], ["event_id"])
     return _rounded(out, rentals=2)
 
 
@@ -35,13 +35,13 @@ def weekday_profile(t: Tables):
     return reports.weekday_profile(t.daily, "day", "total")
 
 
-_WEEKLY = """s AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+_WEEKLY = """s AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
 weekly AS (SELECT user_id, year(ts)::INT AS year, week(ts)::INT AS week, sum(CASE WHEN value > prev THEN value - prev ELSE 0 END) AS rentals FROM s GROUP BY 1, 2, 3)"""
 
 
 @query("weekly_rises", "M2 W2 X8 X9", f"WITH {_WEEKLY} SELECT user_id, year, week, round(rentals, 2) AS rentals FROM weekly")
 def weekly_rises(t: Tables):
-    return _rounded(reports.weekly_rises(t.gauge, "user_id", "ts", "value", ["day", "minute"]), rentals=2)
+    return _rounded(reports.weekly_rises(t.gauge, "user_id", "ts", "value", ["day", "minute"], ["event_id"]), rentals=2)
 
 
 @query(
@@ -50,7 +50,7 @@ def weekly_rises(t: Tables):
     f"WITH {_WEEKLY} SELECT user_id, round(avg(rentals), 4) AS mean_rentals, count(*) AS weeks FROM weekly GROUP BY 1",
 )
 def mean_rises_per_week(t: Tables):
-    return _rounded(reports.mean_per_week(t.gauge, "user_id", "ts", "value", ["day", "minute"]), mean_rentals=4)
+    return _rounded(reports.mean_per_week(t.gauge, "user_id", "ts", "value", ["day", "minute"], ["event_id"]), mean_rentals=4)
 
 
 @query(
@@ -76,18 +76,18 @@ def rain_days(t: Tables):
 )
 def hourly_profile(t: Tables):
     january = t.gauge.filter("day BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'")
-    return _rounded(reports.hourly_profile(january, "user_id", "ts", "value", ["minute"]), mean_rentals=8)
+    return _rounded(reports.hourly_profile(january, "user_id", "ts", "value", ["minute"], ["event_id"]), mean_rentals=8)
 
 
 @query(
     "daily_falls",
     "M6 W3",
-    """WITH g AS (SELECT user_id, ts, ts::DATE AS day, value, (props->>'k')::DOUBLE AS k FROM events), s AS (SELECT *, lag(value) OVER w AS pv, lag(k) OVER w AS pk FROM g WINDOW w AS (PARTITION BY user_id, day ORDER BY ts))
+    """WITH g AS (SELECT event_id, user_id, ts, ts::DATE AS day, value, (props->>'k')::DOUBLE AS k FROM events), s AS (SELECT *, lag(value) OVER w AS pv, lag(k) OVER w AS pk FROM g WINDOW w AS (PARTITION BY user_id, day ORDER BY ts, event_id))
     SELECT user_id, day, round(sum(CASE WHEN pv > value THEN pv - value ELSE 0 END), 2) AS classic, round(sum(CASE WHEN pk > k THEN pk - k ELSE 0 END), 2) AS electric FROM s GROUP BY 1, 2""",
 )
 def daily_falls(t: Tables):
-    gauge = t.events.select("user_id", "ts", (F.hour("ts") * 60 + F.minute("ts")).alias("minute"), "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
-    out = reports.daily_falls(gauge, "user_id", "ts", {"classic": "value", "electric": "k"}, ["minute"])
+    gauge = t.events.select("event_id", "user_id", "ts", (F.hour("ts") * 60 + F.minute("ts")).alias("minute"), "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    out = reports.daily_falls(gauge, "user_id", "ts", {"classic": "value", "electric": "k"}, ["minute"], ["event_id"])
     return _rounded(out, classic=2, electric=2)
 
 
@@ -262,7 +262,7 @@ def quarter_shares(t: Tables):
       round((morning + evening) / total, 6) AS rush_ratio, round(weekend / total, 6) AS weekend_ratio, round(total / active_days, 6) AS rentals_per_day FROM p""",
 )
 def activity_profile(t: Tables):
-    out = reports.activity_profile(t.gauge, "user_id", "ts", "value", ["minute"])
+    out = reports.activity_profile(t.gauge, "user_id", "ts", "value", ["minute"], ["event_id"])
     return _rounded(out, total=2, morning=2, evening=2, weekday=2, weekend=2, rush_ratio=6, weekend_ratio=6, rentals_per_day=6)
 
 

@@ -12,42 +12,42 @@ from tramline.operators import aggregates, windows
 @query(
     "previous_readings",
     "W1",
-    """SELECT event_id, lag(value) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts) AS prev_today, lag(event_type) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts) AS prev_type FROM events""",
+    """SELECT event_id, lag(value) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) AS prev_today, lag(event_type) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) AS prev_type FROM events""",
 )
 def previous_readings(t: Tables):
-    out = windows.lagged(t.gauge, ["user_id", "day"], ["ts"], {"prev_today": "value", "prev_type": "event_type"}, ["minute"])
+    out = windows.lagged(t.gauge, ["user_id", "day"], ["ts", "event_id"], {"prev_today": "value", "prev_type": "event_type"}, ["minute"])
     return out.select("event_id", "prev_today", "prev_type")
 
 
 @query(
     "previous_by_station",
     "W1 X8",
-    "SELECT event_id, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events",
+    "SELECT event_id, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events",
 )
 def previous_by_station(t: Tables):
-    return windows.lagged(t.gauge, ["user_id"], ["ts"], {"prev": "value"}, ["day", "minute"]).select("event_id", "prev")
+    return windows.lagged(t.gauge, ["user_id"], ["ts", "event_id"], {"prev": "value"}, ["day", "minute"]).select("event_id", "prev")
 
 
 @query(
     "positive_deltas",
     "W2",
-    """WITH s AS (SELECT *, lag(value) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts) AS p FROM events)
+    """WITH s AS (SELECT *, lag(value) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) AS p FROM events)
     SELECT event_id, round(CASE WHEN value > p THEN value - p ELSE 0 END, 2) AS rise, round(CASE WHEN p IS NOT NULL THEN greatest(p - value, 0) END, 2) AS fall FROM s""",
 )
 def positive_deltas(t: Tables):
-    rise = windows.positive_delta(t.gauge, ["user_id", "day"], ["ts"], "value", "rise", split=["minute"])
-    both = windows.positive_delta(rise, ["user_id", "day"], ["ts"], "value", "fall", "fall", "null", ["minute"])
+    rise = windows.positive_delta(t.gauge, ["user_id", "day"], ["ts", "event_id"], "value", "rise", split=["minute"])
+    both = windows.positive_delta(rise, ["user_id", "day"], ["ts", "event_id"], "value", "fall", "fall", "null", ["minute"])
     return both.select("event_id", F.round("rise", 2).alias("rise"), F.round("fall", 2).alias("fall"))
 
 
 @query(
     "rises_without_first",
     "W2 W3",
-    """WITH s AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events)
+    """WITH s AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
     SELECT event_id, round(greatest(value - p, 0), 2) AS rise FROM s WHERE p IS NOT NULL""",
 )
 def rises_without_first(t: Tables):
-    out = windows.positive_delta(t.gauge, ["user_id"], ["ts"], "value", "rise", first="drop", split=["day", "minute"])
+    out = windows.positive_delta(t.gauge, ["user_id"], ["ts", "event_id"], "value", "rise", first="drop", split=["day", "minute"])
     return out.select("event_id", F.round("rise", 2).alias("rise"))
 
 
@@ -121,19 +121,19 @@ def share_of_total(t: Tables):
 @query(
     "chronological_split",
     "W13",
-    """SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts) <= floor(count(*) OVER (PARTITION BY user_id) * 0.8) AS is_train FROM events""",
+    """SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) <= floor(count(*) OVER (PARTITION BY user_id) * 0.8) AS is_train FROM events""",
 )
 def chronological_split(t: Tables):
-    return windows.chronological_split(t.gauge, ["user_id"], ["ts"], 0.8, ["day", "minute"]).select("event_id", "is_train")
+    return windows.chronological_split(t.gauge, ["user_id"], ["ts", "event_id"], 0.8, ["day", "minute"]).select("event_id", "is_train")
 
 
 @query(
     "positions_in_series",
     "W13 W4",
-    """SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS position, count(*) OVER (PARTITION BY event_type) AS size FROM events""",
+    """SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS position, count(*) OVER (PARTITION BY event_type) AS size FROM events""",
 )
 def positions_in_series(t: Tables):
-    return windows.positions(t.gauge, ["event_type"], ["ts"], ["day", "minute"]).select("event_id", "position", "size")
+    return windows.positions(t.gauge, ["event_type"], ["ts", "event_id"], ["day", "minute"]).select("event_id", "position", "size")
 
 
 @query(
@@ -153,10 +153,10 @@ def running_totals(t: Tables):
 @query(
     "latest_thirty",
     "W14 T3",
-    """SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r FROM events) WHERE r <= 30""",
+    """SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r <= 30""",
 )
 def latest_thirty(t: Tables):
-    return windows.latest(t.events, ["user_id"], ["ts"], 30).select("event_id")
+    return windows.latest(t.events, ["user_id"], ["ts", "event_id"], 30).select("event_id")
 
 
 @query(

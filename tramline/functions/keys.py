@@ -22,6 +22,11 @@ def date_key(moment: Column) -> Column:
     return F.year(moment) * 10000 + F.month(moment) * 100 + F.dayofmonth(moment)
 
 
+def on_days(moment: Column, first: Column, last: Column) -> Column:
+    """True from the first through the last day. Next to a test on computed keys, this is what reaches the scan."""
+    return (moment >= first) & (moment < F.date_add(last, 1))
+
+
 def time_key(moment: Column) -> Column:
     """Timestamp to an HHmm integer (0..2359)."""
     return F.hour(moment) * 100 + F.minute(moment)

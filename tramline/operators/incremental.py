@@ -20,9 +20,9 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Names) -> DataFrame:
     return new_rows(existing, updates, keys).unionByName(updates)
 
 
-def newest_version(versions: DataFrame, keys: Names, version: str) -> DataFrame:
+def newest_version(versions: DataFrame, keys: Names, version: str, tie: Names = ()) -> DataFrame:
     """Latest version of every key; the aggregate form of ``upsert`` for append-only landings."""
-    return last_by(versions, keys, [version])
+    return last_by(versions, keys, [version, *tie])
 
 
 def assign_keys(fresh: DataFrame, existing: DataFrame, key: str, natural: Names) -> DataFrame:

@@ -24,6 +24,11 @@ def require_id(dim: DataFrame, column: str, value: object) -> None:
         raise UnknownId(f"{column} {value!r} does not exist")
 
 
+def _stored(moment: str | None, first: Column, last: Column) -> Column:
+    """The same days on the stored moment that a computed day key comes from; true without one."""
+    return F.lit(True) if moment is None else keys.on_days(F.col(moment), first, last)
+
+
 def detail(dim: DataFrame, column: str, value: object) -> DataFrame:
     """The one row of an id; an unknown id is an error."""
     require_id(dim, column, value)
@@ -32,7 +37,7 @@ def detail(dim: DataFrame, column: str, value: object) -> DataFrame:
 
 def totals_since(
     counts: DataFrame, point: object, period: str, as_of: date, points: DataFrame | None = None,
-    id_column: str = "counting_point_id", day_key: str = "date_key",
+    id_column: str = "counting_point_id", day_key: str = "date_key", moment: str | None = None,
 ) -> DataFrame:
     """Totals from the start of the day, week, month or year up to ``as_of``; 0 if nothing was counted."""
     if points is not None:
@@ -40,7 +45,7 @@ def totals_since(
     today = F.lit(as_of)
     start = dates.period_start(today, period)
     chosen = counts.filter(
-        (F.col(id_column) == F.lit(point)) & F.col(day_key).between(keys.date_key(start), keys.date_key(today))
+        (F.col(id_column) == F.lit(point)) & F.col(day_key).between(keys.date_key(start), keys.date_key(today)) & _stored(moment, start, today)
     )
     return chosen.agg(*(total_or_zero(c).alias(c) for c in _DIRECTIONS if c in counts.columns)).select(
         F.lit(point).alias(id_column), F.lit(period).alias("period"), start.alias("start_date"), today.alias("end_date"), "*"
@@ -49,25 +54,25 @@ def totals_since(
 
 def totals_on(
     counts: DataFrame, point: object, day: date, as_of: date, points: DataFrame | None = None,
-    id_column: str = "counting_point_id", day_key: str = "date_key",
+    id_column: str = "counting_point_id", day_key: str = "date_key", moment: str | None = None,
 ) -> DataFrame:
     """Totals of one past day."""
     if day >= as_of:
         raise ValueError("day must lie before the as-of date")
     if points is not None:
         require_id(points, id_column, point)
-    chosen = counts.filter((F.col(id_column) == F.lit(point)) & (F.col(day_key) == keys.date_key(F.lit(day))))
+    chosen = counts.filter((F.col(id_column) == F.lit(point)) & (F.col(day_key) == keys.date_key(F.lit(day))) & _stored(moment, F.lit(day), F.lit(day)))
     return chosen.agg(*(total_or_zero(c).alias(c) for c in _DIRECTIONS if c in counts.columns)).select(
         F.lit(point).alias(id_column), F.lit(day).alias("day"), "*"
     )
 
 
-def wind_for_day(weather: DataFrame, stations: DataFrame, station: str, day: date, as_of: date) -> DataFrame:
+def wind_for_day(weather: DataFrame, stations: DataFrame, station: str, day: date, as_of: date, moment: str | None = None) -> DataFrame:
     """Mean 10 m wind speed and strongest gust of a station; NULLs if the day has no reading."""
     if day > as_of:
         raise ValueError("day must not lie after the as-of date")
     require_id(stations, "weather_station_id", station)
-    readings = weather.filter(F.col("date_key") == keys.date_key(F.lit(day))).select(
+    readings = weather.filter((F.col("date_key") == keys.date_key(F.lit(day))) & _stored(moment, F.lit(day), F.lit(day))).select(
         F.col("weather_station_key").cast("string").alias("__id"), "wind_speed_10m", "wind_gusts_speed"
     )
     chosen = stations.filter(F.col("weather_station_id") == F.lit(station))
@@ -82,18 +87,20 @@ def wind_for_day(weather: DataFrame, stations: DataFrame, station: str, day: dat
     )
 
 
-def in_last_days(day_key: Column, clock_key: Column, as_of: datetime, days: int) -> Column:
+def in_last_days(day_key: Column, clock_key: Column, as_of: datetime, days: int, moment: Column | None = None) -> Column:
     """True from ``days`` before ``as_of`` (to the minute) up to ``as_of``.
 
-    The bounds are plain key literals: the day range reaches the scan, the minute test trims
-    the first and the last day.
+    The bounds are plain key literals: on stored keys the day range reaches the scan, and the minute
+    test trims the first and the last day. Where the keys are computed, ``moment`` is the column stored.
     """
     high = keys.wall_clock(as_of)
     low = high - F.expr(f"interval {days} days")
     lo_day, hi_day = keys.date_key(low), keys.date_key(high)
     minute = keys.time_key(high)
+    stored = F.lit(True) if moment is None else keys.on_days(moment, low.cast("date"), high.cast("date"))
     return (
-        day_key.between(lo_day, hi_day)
+        stored
+        & day_key.between(lo_day, hi_day)
         & ((day_key > lo_day) | (clock_key >= minute))
         & ((day_key < hi_day) | (clock_key <= minute))
     )
@@ -101,14 +108,14 @@ def in_last_days(day_key: Column, clock_key: Column, as_of: datetime, days: int)
 
 def availability_window(
     gauge: DataFrame, stations: DataFrame, days: int, as_of: datetime, value: str = "total_available",
-    station: str = "bike_station_key", day_key: str = "date_key", clock_key: str = "time_key",
+    station: str = "bike_station_key", day_key: str = "date_key", clock_key: str = "time_key", moment: str | None = None,
 ) -> DataFrame:
     """Lowest and highest availability per station in the last days, stations without data kept.
 
     ``measurements`` counts joined rows, so a station without readings shows 1. Readings are
     aggregated before the join.
     """
-    recent = gauge.filter(in_last_days(F.col(day_key), F.col(clock_key), as_of, days))
+    recent = gauge.filter(in_last_days(F.col(day_key), F.col(clock_key), as_of, days, F.col(moment) if moment else None))
     stats = recent.groupBy(F.col(station).alias("__s")).agg(
         F.min(value).alias("min_available"), F.max(value).alias("max_available"), F.count(F.lit(1)).alias("__n")
     )
@@ -136,6 +143,7 @@ def listing(dim: DataFrame, columns: list[str], order: str) -> DataFrame:
 def top_points(
     counts: DataFrame, points: DataFrame, day: date, n: int, as_of: date,
     id_column: str = "counting_point_id", name: str = "counting_point_name", value: str = "total", day_key: str = "date_key",
+    moment: str | None = None,
 ) -> DataFrame:
     """Busiest points of a day. Counts are summed before the dimension is joined."""
     if not 1 <= n <= MAX_TOP:
@@ -143,7 +151,7 @@ def top_points(
     if day > as_of:
         raise ValueError("day must not lie after the as-of date")
     sums = (
-        counts.filter(F.col(day_key) == keys.date_key(F.lit(day)))
+        counts.filter((F.col(day_key) == keys.date_key(F.lit(day))) & _stored(moment, F.lit(day), F.lit(day)))
         .groupBy(id_column)
         .agg(F.sum(value).alias(value))
     )
