@@ -40,7 +40,7 @@ from tramline.llm.batches import small
 
 MARK = "▁"
 #: Words and pairs remembered by a worker before its memory starts afresh, and the longest word remembered.
-_REMEMBERED, _LONGEST = 400_000, 48
+_REMEMBERED, _LONGEST = 240_000, 48
 #: Characters that mostly decide which arcs start at a place.
 _WINDOW = 6
 # Types of pieces and model types in a SentencePiece model file.
