@@ -141,3 +141,19 @@ def test_text_is_not_cut(spark):
     docs = spark.createDataFrame([(1, a, "", "", 0), (2, b, "", "", 0)], SCHEMA)
     assert {r.class_id for r in neardup.classes(docs).collect()} == {1, 2}
     assert neardup.classes(docs.filter(F.col("doc_id") == 1)).count() == 1
+
+
+def test_edits_in_large_groups_and_small_tables(spark, tmp_path):
+    r = random.Random(4)
+    word = lambda: f"w{r.randrange(10**6)}"
+    base = [word() for _ in range(150)]
+    edit = lambda *at: " ".join("new" + str(r.randrange(10**9)) if k in at else w for k, w in enumerate(base))
+    group = [edit(7 + 4 * k) for k in range(30)]  # 136 of 156 shingles are shared
+    rows = [(k, t) for k, t in enumerate(group)] + [(100 + k, " ".join(word() for _ in range(100))) for k in range(60)]
+    for name, some in (("group", rows), ("small", rows[:2] + rows[30:38])):
+        folder = tmp_path / name
+        spark.createDataFrame(some, "doc_id bigint, text string").write.parquet(str(folder / "documents.parquet"))
+        got = {x.doc_id: x.class_id for x in queries.op9_minhash_neardup(spark, str(folder)).collect()}
+        assert got == {d: 0 if d < 100 else d for d, _ in some}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert neardup.deduplicated(docs, either=True).count() == 61

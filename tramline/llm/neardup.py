@@ -17,6 +17,11 @@ a band share a bucket. Buckets are searched in two steps, and every similarity i
 Exact copies are one text throughout, whatever their number. Two texts linked by a similarity of at
 least ``least`` and sharing a bucket end in one class; at 0.8 a pair shares none in one of 1,300 cases.
 
+In a large group of near copies what they share counts less than their edits. With ``either``, texts are also
+linked if their Jaccard similarity by counts alone is at least ``least``. Texts that lose over ``LOSS`` of their weight to
+the idf then have ``PLAIN_BANDS`` more bands, drawn by counts; a pair of others at 0.8 by counts is at 0.789 or more by
+weights. Such a pair shares no bucket in one of 850 cases at most.
+
 Defined cases: null and empty texts are in a class of their own; a text without words is equal to its
 exact copies only; the class id is the smallest non-null id of its documents; rows that share an id are
 told apart by their text; an empty table gives no rows; further columns are ignored or, in
@@ -38,6 +43,8 @@ from tramline.llm.components import components
 from tramline.session import cut_lineage
 
 WORDS, BANDS, ROWS, COMMON = 5, 10, 3, 0.05
+#: Bands by counts: with more rows, as passages that many documents share are not held down in them.
+PLAIN_BANDS, PLAIN_ROWS, LOSS = 18, 5, 0.05
 _BUCKETS = 1 << 16
 _DRAWS = 1 << 16
 #: Bytes of text worked on at a time, and members and bytes of a block.
@@ -129,10 +136,10 @@ def shingles(texts: pa.Array) -> Iterator[tuple[int, list[tuple[np.ndarray, np.n
 
 
 class Weights:
-    """The idf of common shingles (sorted by hash); all others have 1."""
+    """The idf of common shingles (sorted by hash); all others have 1. ``either``: similarity by counts links as well."""
 
-    def __init__(self, hashes: np.ndarray, idf: np.ndarray):
-        self.hashes, self.idf = hashes, idf
+    def __init__(self, hashes: np.ndarray, idf: np.ndarray, either: bool = False):
+        self.hashes, self.idf, self.either = hashes, idf, either
 
     def of(self, found: np.ndarray, counts: np.ndarray) -> np.ndarray:
         weights = counts.astype(float)
@@ -162,14 +169,14 @@ def _counts_in(buckets: np.ndarray):
     return run
 
 
-def weigh(texts: DataFrame) -> Weights:
+def weigh(texts: DataFrame, either: bool = False) -> Weights:
     """The idf of shingles in at least ``COMMON`` of all documents; column ``text``.
 
     To the driver come at most ``_BUCKETS`` bucket counts, and then the common shingles: no more than the
     mean number of shingles of a document divided by ``COMMON``.
     """
     texts = texts.select("text")
-    none = Weights(np.empty(0, _U), np.empty(0))
+    none = Weights(np.empty(0, _U), np.empty(0), either)
     documents = texts.filter("text <> ''").count()
     if not documents:
         return none
@@ -186,7 +193,7 @@ def weigh(texts: DataFrame) -> Weights:
     common = counted(_counts_in(buckets))
     hashes, n = common["key"].to_numpy().view(_U), common["n"].to_numpy()
     order = np.argsort(hashes)
-    return Weights(hashes[order], np.log1p(documents / n[order]) / np.log1p(1 / COMMON))
+    return Weights(hashes[order], np.log1p(documents / n[order]) / np.log1p(1 / COMMON), either)
 
 
 def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,15 +203,18 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return r.astype(np.float32), np.log(c).astype(np.float32), rng.random(_DRAWS).astype(np.float32)
 
 
-def band_keys(found: np.ndarray, weights: np.ndarray, limits: np.ndarray) -> np.ndarray:
-    """One row of ``BANDS`` keys for each text; ``limits`` are the starts of the texts' shingles (none is empty)."""
+def band_keys(found: np.ndarray, weights: np.ndarray, limits: np.ndarray, bands: int = BANDS, rows: int = ROWS, first: int = 0) -> np.ndarray:
+    """One row of ``bands`` keys for each text; ``limits`` are the starts of the texts' shingles (none is empty).
+
+    ``first``: number of the first sample.
+    """
     r_of, c_of, beta_of = _draws()
     log_weight = np.log(weights).astype(np.float32)
     sizes = np.diff(np.append(limits, len(found)))
-    keys = np.zeros((len(limits), BANDS), _U)
+    keys = np.zeros((len(limits), bands), _U)
     low = _U(_DRAWS - 1)
-    for k in range(BANDS * ROWS):
-        draw = _mixed(found + _U((k + 1) * _BASE % (1 << 64)))
+    for k in range(bands * rows):
+        draw = _mixed(found + _U((first + k + 1) * _BASE % (1 << 64)))
         r, beta = r_of[(draw & low).astype(np.int64)], beta_of[(draw >> _U(16) & low).astype(np.int64)]
         step = np.floor(log_weight / r + beta)
         cost = c_of[(draw >> _U(32) & low).astype(np.int64)] - r * (step - beta + 1)
@@ -212,42 +222,55 @@ def band_keys(found: np.ndarray, weights: np.ndarray, limits: np.ndarray) -> np.
         (hits,) = np.nonzero(cost == least)
         at = hits[np.searchsorted(hits, limits)]  # the first of each text: ties go to the smaller shingle
         sample = _mixed(found[at] ^ (step[at].astype(np.int64).view(_U) * _U(_INVERSE)))
-        keys[:, k // ROWS] = _mixed(keys[:, k // ROWS] * _U(31) + sample)
+        keys[:, k // rows] = _mixed(keys[:, k // rows] * _U(31) + sample)
     return keys.view(np.int64)
 
 
 def keys(text: Column, weights: Weights) -> Column:
-    """Array of band keys; null for texts without words."""
+    """Array of band keys, those by counts last; null for texts without words."""
 
     @F.arrow_udf("array<bigint>")
     def run(texts: pa.Array) -> pa.Array:
-        made = np.zeros((len(texts), BANDS), np.int64)
-        empty = np.ones(len(texts), bool)
+        made: list[np.ndarray] = [np.empty(0, np.int64)] * len(texts)
         for first, rows in shingles(texts):
-            size = np.array([len(s) for s, _ in rows])
-            full = np.flatnonzero(size)
-            if not len(full):
+            full = [i for i, (s, _) in enumerate(rows) if len(s)]
+            if not full:
                 continue
-            found = np.concatenate([rows[i][0] for i in full])
-            counts = np.concatenate([rows[i][1] for i in full])
-            limits = np.concatenate(([0], np.cumsum(size[full])[:-1]))
-            made[first + full] = band_keys(found, weights.of(found, counts), limits)
-            empty[first + full] = False
-        offsets = pa.array(np.arange(0, made.size + 1, BANDS), pa.int32())
-        return pa.ListArray.from_arrays(offsets, pa.array(made.ravel()), mask=pa.array(empty))
+            given = [weights.of(*rows[i]) for i in full]
+            limits = np.cumsum([0] + [len(w) for w in given])[:-1]
+            for i, own in zip(full, band_keys(np.concatenate([rows[i][0] for i in full]), np.concatenate(given), limits), strict=True):
+                made[first + i] = own
+            light = [i for i, w in zip(full, given, strict=True) if w.sum() < (1 - LOSS) * rows[i][1].sum()] if weights.either else []
+            if not light:
+                continue
+            limits = np.cumsum([0] + [len(rows[i][0]) for i in light])[:-1]
+            counts = np.concatenate([rows[i][1] for i in light]).astype(float)
+            more = band_keys(np.concatenate([rows[i][0] for i in light]), counts, limits, PLAIN_BANDS, PLAIN_ROWS, BANDS * ROWS)
+            for i, own in zip(light, more, strict=True):
+                made[first + i] = np.concatenate((made[first + i], own))
+        size = np.array([len(x) for x in made], np.int64)
+        offsets = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *made])), mask=pa.array(size == 0))
 
     return run(text)
 
 
 class _Text:
-    """A text's shingles, weighted."""
+    """A text's shingles, weighted; ``plain`` has their counts as weights, where similarity by counts links as well."""
 
     def __init__(self, found: np.ndarray, weights: np.ndarray):
         self.found, self.weights, self.total = found, weights, float(weights.sum())
+        self.plain = self
 
 
 def _weighted(texts: pa.Array, weights: Weights) -> list[_Text]:
-    return [_Text(found, weights.of(found, counts)) for _, rows in shingles(texts) for found, counts in rows]
+    out = []
+    for _, rows in shingles(texts):
+        for found, counts in rows:
+            out.append(_Text(found, weights.of(found, counts)))
+            if weights.either and out[-1].total < counts.sum():
+                out[-1].plain = _Text(found, counts.astype(float))
+    return out
 
 
 def similarity(a: _Text, b: _Text, least: float = 0.0) -> float:
@@ -261,6 +284,10 @@ def similarity(a: _Text, b: _Text, least: float = 0.0) -> float:
     return common / (a.total + b.total - common)
 
 
+def _alike(a: _Text, b: _Text, least: float) -> bool:
+    return similarity(a, b, least) >= least or ((a.plain is not a or b.plain is not b) and similarity(a.plain, b.plain, least) >= least)
+
+
 def _verified(weights: Weights, least: float):
     """(a, b, text_a, text_b) -> (a, b) of similar texts. Rows come ordered by b, so its shingles are often at hand."""
 
@@ -275,7 +302,7 @@ def _verified(weights: Weights, least: float):
                 for k, one in enumerate(own, start):
                     if held is None or not again[k]:
                         (held,) = _weighted(text_b[k : k + 1], weights)
-                    good[k] = similarity(one, held, least) >= least
+                    good[k] = _alike(one, held, least)
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(good))
 
     return run
@@ -331,14 +358,15 @@ def _across(weights: Weights, least: float):
             for r in range(len(batch)):
                 (band, same, nodes_a, labels_a, bands_a, texts_a, nodes_b, labels_b, bands_b, texts_b) = (c[r] for c in batch.columns)
                 band, same = band.as_py(), same.as_py()
-                a = (nodes_a.as_py(), labels_a.as_py(), np.array(bands_a.as_py()), _weighted(texts_a.values, weights))
-                b = a if same else (nodes_b.as_py(), labels_b.as_py(), np.array(bands_b.as_py()), _weighted(texts_b.values, weights))
+                upto = lambda bands: np.array([x[:band] for x in bands.as_py()])  # noqa: B023, E731
+                a = (nodes_a.as_py(), labels_a.as_py(), upto(bands_a), _weighted(texts_a.values, weights))
+                b = a if same else (nodes_b.as_py(), labels_b.as_py(), upto(bands_b), _weighted(texts_b.values, weights))
                 for i in range(len(a[0])):
-                    earlier = (b[2][:, :band] == a[2][i, :band]).any(1)
+                    earlier = (b[2] == a[2][i]).any(1)
                     for j in range(i + 1 if same else 0, len(b[0])):
                         if earlier[j] or a[1][i] == b[1][j] or find(a[1][i]) == find(b[1][j]):
                             continue
-                        if similarity(a[3][i], b[3][j], least) >= least:
+                        if _alike(a[3][i], b[3][j], least):
                             root[find(a[1][i])] = find(b[1][j])
                             found_a.append(a[0][i])
                             found_b.append(b[0][j])
@@ -388,11 +416,11 @@ def _links(docs: DataFrame, sketches: DataFrame, weights: Weights, least: float)
     return cut_lineage(stars.union(across))
 
 
-def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
+def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float = 0.8, either: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, node, root (what a class shares) and class_id."""
     plain = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
     small(docs.sparkSession)
-    weights = weigh(plain)
+    weights = weigh(plain, either)
     sketches = cut_lineage(plain.select("doc_id", node(F.col("text")).alias("node"), keys(F.col("text"), weights).alias("bands")))
     links = _links(plain.select(node(F.col("text")).alias("node"), "text"), sketches.select("node", "bands"), weights, least)
     rows = sketches.select("doc_id", "node").join(components(links), "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
@@ -401,14 +429,14 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: flo
     return rows.join(ids, "root", "left").select("doc_id", "node", "root", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def deduplicated(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
+def deduplicated(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float = 0.8, either: bool = False) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each class the one with the smallest id stays.
 
     Ties go to the smaller text hash, then to the smaller other values; equal rows are one. Null and empty texts stay.
     """
     other = F.to_json(F.struct(*[c for c in docs.columns if c != text] or [F.lit(0)]))
     marked = docs.withColumns({"dup__node": node(F.col(text)), "dup__other": other})
-    found = classes(docs, doc, text, least).filter("root is not null").select("node", "root").distinct()
+    found = classes(docs, doc, text, least, either).filter("root is not null").select("node", "root").distinct()
     place = F.struct(F.col(doc).isNull(), F.col(doc), F.col("dup__node"), F.col("dup__other")).alias("place")
     small = marked.filter("dup__node is not null").select(F.col("dup__node").alias("node"), place)
     chosen = small.join(found, "node").groupBy("root").agg(F.min("place").alias("p")).select(F.col("p.dup__node").alias("dup__node"), F.col("p.dup__other").alias("dup__other"))

@@ -104,7 +104,7 @@ def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document; the one that gives the class its id is kept."""
-    found = neardup.classes(table(spark, folder, "documents").select("doc_id", "text"))
+    found = neardup.classes(table(spark, folder, "documents").select("doc_id", "text"), either=True)
     return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
