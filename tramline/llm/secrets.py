@@ -6,7 +6,8 @@ statistically (Hoeffding bound) are merged, so that fixed parts stay as paths an
 loops. Any other run of credential characters is then scored by its likelihood under these automata
 against that under a background automaton, a character chain learned from runs the patterns do not mark.
 
-The automata are learned from a bounded sample of documents; every text is scanned whole. Base spans are
+The base patterns run over all documents; the automata are learned from a bounded sample of the different values
+found, the background from one of documents. Every text is scanned whole. Base spans are
 never dropped: inferred ones (kind ``format``) are only added where no base span lies.
 
 Defined cases: null and empty texts have no spans; a very long run is scored like any other; documents
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tramline.llm.batches import small
 from tramline.llm.sampling import bounded
+from tramline.session import cut_lineage
 
 # The base patterns, which part must have how many characters, and the order of kinds.
 _RULES = (
@@ -191,28 +193,29 @@ class Formats:
         return sorted(base + added)
 
 
+_VALUES = pa.schema([("kind", pa.string()), ("value", pa.string())])
+
+
 def _labelled(batches):
-    schema = pa.schema([("kind", pa.string()), ("value", pa.string())])
     for batch in batches:
-        kinds, values = [], []
-        for text in batch.column(0).to_pylist():
-            spans = base_spans(text or "")
-            for _, order, _, value in spans:
-                kinds.append(KINDS[order])
-                values.append(value)
-            for a, b in runs(text or "", spans):
-                kinds.append(FORMAT)
-                values.append(text[a:b])
-        yield pa.RecordBatch.from_pydict({"kind": kinds, "value": values}, schema=schema)
+        found = [(KINDS[order], value) for text in batch.column(0).to_pylist() for _, order, _, value in base_spans(text or "")]
+        yield pa.RecordBatch.from_pydict({"kind": [k for k, _ in found], "value": [v for _, v in found]}, schema=_VALUES)
+
+
+def _others(batches):
+    for batch in batches:
+        found = [t[a:b] for t in batch.column(0).to_pylist() if t for a, b in runs(t, base_spans(t))]
+        yield pa.RecordBatch.from_pydict({"kind": [FORMAT] * len(found), "value": found}, schema=_VALUES)
 
 
 def learn(docs: DataFrame, doc: str = "doc_id", text: str = "text", documents: int = 10_000, values: int = 1_000) -> Formats:
-    """Formats from about ``documents`` documents and about ``values`` credentials (and other runs) of each kind.
+    """Formats from about ``values`` different credentials of each kind in all documents, and about ``values`` other runs of ``documents`` documents.
 
-    Both numbers bound what comes to the driver; single values of over 1,000 characters teach nothing about a format.
+    ``values`` bounds what comes to the driver; single values of over 1,000 characters teach nothing about a format.
     """
     sample = bounded(docs.select(doc, text), documents, [doc]).select(text)
-    found = sample.mapInArrow(_labelled, "kind string, value string").filter(F.length("value") <= 1_000).distinct()
+    found = docs.select(text).mapInArrow(_labelled, "kind string, value string").union(sample.mapInArrow(_others, "kind string, value string"))
+    found = cut_lineage(found.filter(F.length("value") <= 1_000).distinct())
     rows = bounded(found, values, ["value"], group="kind").collect()
     by_kind: dict[str, list[str]] = defaultdict(list)
     for kind, value in sorted(map(tuple, rows)):
