@@ -3,8 +3,9 @@
 The values that the base patterns find are labelled credentials. For each kind their prefix tree is
 folded into a probabilistic automaton: states whose ending and leaving frequencies do not differ
 statistically (Hoeffding bound) are merged, so that fixed parts stay as paths and random parts become
-loops. Any other run of credential characters is then scored by its likelihood under these automata
-against that under a background automaton, a character chain learned from runs the patterns do not mark.
+loops. Any other run of credential characters, and what base spans leave of a run, is then scored by its likelihood
+under these automata against that under background automata, character chains learned from runs the patterns do
+not mark (long and short, with and without letters). A piece that was cut off from a base span is scored with and without the separators at the cut.
 
 The base patterns run over all documents; the automata are learned from a bounded sample of the different values
 found, the background from one of documents. Every text is scanned whole. Base spans are
@@ -36,7 +37,11 @@ _RULES = (
 )
 KINDS = [kind for kind, *_ in _RULES]
 FORMAT = "format"
-_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}", re.ASCII)
+SHORTEST = min(least for *_, least in _RULES)  # a candidate is as long as the shortest labelled value
+_RUN = re.compile(rf"[A-Za-z0-9+/_.=-]{{{SHORTEST},}}", re.ASCII)
+_SEPARATORS = frozenset("+/_.=-")
+_LONG, _LETTER = 16, re.compile(r"[A-Za-z]")
+_REMEMBERED = 100_000
 _LETTERS = 68  # characters of a run, and its end
 
 
@@ -48,18 +53,47 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
-def runs(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int]]:
-    """Runs of credential characters that touch none of ``spans`` (sorted by start)."""
-    out, k, reach = [], 0, -1
+def pieces(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, int]]:
+    """What ``spans`` (sorted by start) leave of runs of credential characters, if long enough.
+
+    (start, end, and both again without the separators that join the piece to a span).
+    """
+    out, k, reach = [], 0, 0
+
+    def add(a: int, b: int, left: bool, right: bool) -> None:
+        if b - a < SHORTEST:
+            return
+        c, d = a, b
+        while left and c < d and text[c] in _SEPARATORS:
+            c += 1
+        while right and c < d and text[d - 1] in _SEPARATORS:
+            d -= 1
+        out.append((a, b, c, d) if d - c >= SHORTEST else (a, b, a, b))
+
     for m in _RUN.finditer(text):
-        while k < len(spans) and spans[k][0] < m.end():
+        at, end = m.span()
+        while k < len(spans) and spans[k][0] <= at:
             reach = max(reach, spans[k][2])
             k += 1
-        if reach <= m.start():
-            out.append(m.span())
+        cut = reach > at
+        at = max(at, reach)
+        while k < len(spans) and spans[k][0] < end:
+            start, _, stop, _ = spans[k]
+            k += 1
+            if start > at:
+                add(at, start, cut, True)
+            if stop > at:
+                at, cut = stop, True
+        reach = max(reach, at)
+        add(at, end, cut, False)
     return out
 
 
+def runs(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int]]:
+    """Runs of credential characters, without what ``spans`` (sorted by start) cover."""
+    return [p[2:] for p in pieces(text, spans)]
+
+
 class Automaton:
     """A probabilistic automaton folded from a prefix tree by merging compatible states."""
 
@@ -176,20 +210,54 @@ class Background:
         return sum(self.cost.get(a, empty).get(b) or self.miss.get(a, math.log2(_LETTERS)) for a, b in zip("^" + word, word + "$", strict=True))
 
 
+def _stratum(word: str) -> str:
+    """Runs by length and by letters: words are so many that numbers and long runs would teach their background nothing."""
+    return f"{FORMAT}-{'long' if len(word) >= _LONG else 'short'}-{'letters' if _LETTER.search(word) else 'numbers'}"
+
+
 class Formats:
-    """What was learned: an automaton for each kind, and the background."""
+    """What was learned: an automaton for each kind, and a background for each stratum; the best of them counts."""
 
     def __init__(self, labelled: dict[str, list[str]], others: list[str]):
         self.automata = {kind: Automaton(words) for kind, words in sorted(labelled.items()) if words}
-        self.background = Background(others)
-
-    def gain(self, word: str) -> float:
-        """Bits by which the best format explains ``word`` better than the background does."""
-        return self.background.bits(word) - min((a.bits(word) for a in self.automata.values()), default=math.inf)
+        strata: dict[str, list[str]] = defaultdict(list)
+        for word in others:
+            strata[_stratum(word)].append(word)
+        self.backgrounds = [Background(words) for _, words in sorted(strata.items())] or [Background([])]
+        self._known: dict[tuple[str, float], float] = {}
+
+    def _piece(self, text: str, piece: tuple[int, int, int, int], least_gain: float) -> tuple[int, int] | None:
+        """The span to add for ``piece``: the better one of the two, if any reaches ``least_gain``."""
+        a, b, c, d = piece
+        best = self._remembered(text[a:b], least_gain)
+        if (c, d) != (a, b) and (inner := self._remembered(text[c:d], least_gain)) > best:
+            a, b, best = c, d, inner
+        return (a, b) if best >= least_gain else None
+
+    def _remembered(self, word: str, least: float) -> float:
+        """``gain``; most candidates are words that come again."""
+        if len(word) > 32:
+            return self.gain(word, least)
+        known = self._known.get((word, least))
+        if known is None:
+            if len(self._known) >= _REMEMBERED:
+                self._known.clear()
+            known = self._known[word, least] = self.gain(word, least)
+        return known
+
+    def gain(self, word: str, least: float = -math.inf) -> float:
+        """Bits by which the best format explains ``word`` better than the background does; any smaller value below ``least``."""
+        plain = math.inf
+        for background in self.backgrounds:
+            plain = min(plain, background.bits(word))
+            if plain < least:  # no code is shorter than 0 bits
+                return -math.inf
+        return plain - min((a.bits(word) for a in self.automata.values()), default=math.inf)
 
     def spans(self, text: str, least_gain: float) -> list[tuple[int, int, int, str]]:
         base = base_spans(text)
-        added = [(a, len(KINDS), b, text[a:b]) for a, b in runs(text, base) if self.gain(text[a:b]) >= least_gain]
+        found = (self._piece(text, p, least_gain) for p in pieces(text, base))
+        added = [(a, len(KINDS), b, text[a:b]) for a, b in filter(None, found)]
         return sorted(base + added)
 
 
@@ -205,11 +273,11 @@ def _labelled(batches):
 def _others(batches):
     for batch in batches:
         found = [t[a:b] for t in batch.column(0).to_pylist() if t for a, b in runs(t, base_spans(t))]
-        yield pa.RecordBatch.from_pydict({"kind": [FORMAT] * len(found), "value": found}, schema=_VALUES)
+        yield pa.RecordBatch.from_pydict({"kind": [_stratum(w) for w in found], "value": found}, schema=_VALUES)
 
 
 def learn(docs: DataFrame, doc: str = "doc_id", text: str = "text", documents: int = 10_000, values: int = 1_000) -> Formats:
-    """Formats from about ``values`` different credentials of each kind in all documents, and about ``values`` other runs of ``documents`` documents.
+    """Formats from about ``values`` different credentials of each kind in all documents, and about ``values`` other runs of each stratum of ``documents`` documents.
 
     ``values`` bounds what comes to the driver; single values of over 1,000 characters teach nothing about a format.
     """
@@ -220,7 +288,7 @@ def learn(docs: DataFrame, doc: str = "doc_id", text: str = "text", documents: i
     by_kind: dict[str, list[str]] = defaultdict(list)
     for kind, value in sorted(map(tuple, rows)):
         by_kind[kind].append(value)
-    others = by_kind.pop(FORMAT, [])
+    others = [w for kind in list(by_kind) if kind not in KINDS for w in by_kind.pop(kind)]
     return Formats(by_kind, others)
 
 
