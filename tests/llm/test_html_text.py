@@ -59,3 +59,14 @@ def test_odd_pages(spark):
     found = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert found == {1: "", 2: "", 3: "just text <b> &am", 4: "a\n\nb < c\n\n<div", 5: "", 6: "", 7: "ok", 8: "deep", 9: ("w " * 100_000).strip()}
     assert html_text.extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_copied_articles_with_tags_of_their_own_stay(spark):
+    page = "<html><body><nav>menu {0}</nav><article>{1}</article></body></html>"
+    own = "<h1>Copied title</h1><table><tr><td>one cell</td></tr></table><ul><li>an item</li></ul><p>Copied words</p>"
+    others = [page.format("m", f"<h1>T{k}</h1><p>Words {k}</p>") for k in range(35)]
+    want = "Copied title\n\none cell\n\nan item\n\nCopied words"
+    copies = got(spark, [page.format("m", own)] * 5 + others)
+    assert [copies[k] for k in range(5)] == [want] * 5 and copies[7] == "T2\n\nWords 2"
+    syndicated = got(spark, [page.format(k, own) for k in range(5)] + others)
+    assert [syndicated[k] for k in range(5)] == [want] * 5

@@ -18,7 +18,8 @@ teach no template; their pages are told by elements alone.
 
 Defined cases: a null or empty page has the empty text; a null or odd url is a host of its own name; broken
 markup is read as browsers read it (open elements are closed by their parents, an unfinished tag is text, an unfinished
-comment runs to the end); repeated pages count as often as they occur; further columns pass through.
+comment runs to the end); equal pages of a host count once; a run of text inside an article is template only if it
+stands in articles with different texts; further columns pass through.
 """
 
 from __future__ import annotations
@@ -33,9 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.batches import small
+from tramline.session import cut_lineage
 
 #: A class is large with so many tokens, occurs on this share of a host's pages; a host teaches with so many pages.
 TOKENS, SHARE, PAGES = 3, 0.1, 4
+#: Copied pages (host and hash) that are broadcast.
+_FEW = 100_000
 
 _MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
@@ -157,18 +161,21 @@ def _spaced(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-def tokens(page: str) -> Iterator[tuple[int, bool]]:
-    """Key of each token in order, and whether it is a tag."""
-    for kind, path, value, _, _ in events(page):
+def tokens(page: str) -> Iterator[tuple[int, bool, str | None]]:
+    """Key of each token in order, whether it is a tag, and the words of a run of text inside an article."""
+    for kind, path, value, content, inside in events(page):
         if kind != "text":
-            yield _key(kind, path, value), True
+            yield _key(kind, path, value), True, None
         elif said := _spaced(value):
-            yield _key(kind, path, said), False
+            yield _key(kind, path, said), False, said if inside and content else None
 
 
 def _page_tokens(batches):
-    """(host, html) -> (host, token, is_tag, n, place, v, w): v and w are two hashes of (page, n)."""
-    schema = pa.schema([("host", pa.string()), ("token", pa.int64()), ("is_tag", pa.bool_()), ("n", pa.int64()), ("place", pa.float64()), ("v", pa.int64()), ("w", pa.int64())])
+    """(host, html) -> (host, token, is_tag, n, place, v, w, article): v and w are two hashes of (page, n).
+
+    ``article`` is a hash of the article's text, for runs of text inside it.
+    """
+    schema = pa.schema([("host", pa.string()), ("token", pa.int64()), ("is_tag", pa.bool_()), ("n", pa.int64()), ("place", pa.float64()), ("v", pa.int64()), ("w", pa.int64()), ("article", pa.int32())])
     for batch in batches:
         for start in range(0, len(batch), 500):
             part = batch.slice(start, 500)
@@ -177,13 +184,17 @@ def _page_tokens(batches):
                 page = page or ""
                 own = str(_key(page))
                 seen: dict[int, list] = {}
-                for k, (token, is_tag) in enumerate(tokens(page)):
-                    x = seen.setdefault(token, [is_tag, 0, k])
+                words = []
+                for k, (token, is_tag, said) in enumerate(tokens(page)):
+                    x = seen.setdefault(token, [is_tag, 0, k, said is not None])
                     x[1] += 1
-                for token, (is_tag, n, first) in seen.items():
+                    if said is not None:
+                        words.append(said)
+                article = _key(*words) & 0x7FFFFFFF
+                for token, (is_tag, n, first, inside) in seen.items():
                     both = _key(own, str(n))
-                    out.append((host, token, is_tag, n, float(first), both & 0x7FFFFFFF, both >> 32 & 0x7FFFFFFF))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, schema.types, strict=True)], schema=schema)
+                    out.append((host, token, is_tag, n, float(first), both & 0x7FFFFFFF, both >> 32 & 0x7FFFFFFF, article if inside else None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 8, schema.types, strict=True)], schema=schema)
 
 
 def host(url: Column) -> Column:
@@ -193,14 +204,23 @@ def host(url: Column) -> Column:
 def templates(pages: DataFrame) -> DataFrame:
     """pages: host, html -> host, template: array of token, class, place in the class's order.
 
-    Sums over pages are made before tokens meet; only tokens of at least ``PAGES`` pages go on.
+    Sums over pages are made before tokens meet; only tokens of at least ``PAGES`` different pages go on. Only pages that
+    occur more than once are brought together by their text.
     """
-    found = pages.select("host", "html").mapInArrow(_page_tokens, "host string, token bigint, is_tag boolean, n bigint, place double, v bigint, w bigint")
+    pages = pages.select("host", "html", F.xxhash64("html").alias("page"))
+    copied = pages.groupBy("host", "page").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("host", "page")
+    copied = cut_lineage(copied)
+    if copied.count() <= _FEW:  # else their join may shuffle the pages
+        copied = F.broadcast(copied)
+    alone = pages.join(copied, ["host", "page"], "left_anti").select("host", "html", "page")
+    pages = alone.union(pages.join(copied, ["host", "page"], "left_semi").select("host", "html", "page").dropDuplicates(["host", "page"]))
+    found = pages.select("host", "html").mapInArrow(_page_tokens, "host string, token bigint, is_tag boolean, n bigint, place double, v bigint, w bigint, article int")
     vectors = found.groupBy("host", "token", "is_tag").agg(
-        F.count(F.lit(1)).alias("support"), F.sum("n").alias("n"), F.sum("place").alias("place"), F.sum("v").alias("v"), F.sum("w").alias("w")
-    )
-    hosts = pages.groupBy("host", F.xxhash64("html").alias("page")).agg(F.count(F.lit(1)).alias("n"))
-    hosts = hosts.groupBy("host").agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("different")).filter(F.col("different") >= PAGES)
+        F.count(F.lit(1)).alias("support"), F.sum("n").alias("n"), F.sum("place").alias("place"), F.sum("v").alias("v"), F.sum("w").alias("w"),
+        F.min("article").alias("low"), F.max("article").alias("high"),
+    )
+    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= PAGES)
+    vectors = vectors.filter(F.col("low").isNull() | (F.col("low") < F.col("high")))
     frequent = vectors.filter(F.col("support") >= PAGES).join(hosts, "host").filter(F.col("support") >= SHARE * F.col("pages"))
     vector = ["host", "support", "n", "v", "w"]
     member = F.struct((F.col("place") / F.col("support")).alias("place"), "token")
