@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import ann, chat, html_text, language, mixing, neardup, pieces, pigeonhole, secrets, warc
+from tramline.llm import ann, byte_pairs, chat, html_text, language, mixing, neardup, pieces, pigeonhole, secrets, warc
 from tramline.session import table
 
 
@@ -114,6 +114,18 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's byte-level BPE ids and what they decode to, as digests."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = byte_pairs.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    return byte_pairs.decode(coded, ranks).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), byte_pairs.ids_sha256(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
@@ -125,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_minhash_neardup": op9_minhash_neardup,
     "op10_html_extraction": op10_html_extraction,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 _TURNS = """turns AS (
