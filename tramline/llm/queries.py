@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import ann, byte_pairs, chat, html_text, language, mixing, neardup, pieces, pigeonhole, secrets, warc
+from tramline.llm import ann, byte_pairs, chat, html_text, language, mixing, neardup, pieces, pigeonhole, secrets, spelling, warc
 from tramline.session import table
 
 
@@ -126,6 +126,12 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents, some of them damaged, with their commoner spellings."""
+    found = spelling.words(table(spark, folder, "documents"))
+    return spelling.variants(found).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
@@ -138,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_neardup": op9_minhash_neardup,
     "op10_html_extraction": op10_html_extraction,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 _TURNS = """turns AS (
@@ -148,7 +155,37 @@ numbered AS (
     sum(27 + length(role) + length(text) + length(regexp_replace(role || text, '[^<\\[\\\\]', '', 'g'))) OVER (w ROWS UNBOUNDED PRECEDING) AS upto
   FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))"""
 
+#: crc32 of a list of bytes ``{0}``, for DuckDB.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, {0}), lambda c, b:
+  list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"""
+#: The UTF-8 bytes of text ``{0}`` with code points below U+0800.
+_BYTES = """flatten(list_transform(string_split({0}, ''), lambda a:
+  CASE WHEN unicode(a) < 128 THEN [unicode(a)::BIGINT] ELSE [192 + (unicode(a)::BIGINT >> 6), 128 + (unicode(a)::BIGINT & 63)] END))"""
+
 SQL: dict[str, str] = {
+    "op12_spelling_variants": f"""WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT *, {_CRC.format(_BYTES.format("coalesce(doc_id::VARCHAR, 'null') || ':' || run"))} AS h FROM counted),
+damaged AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+held AS (
+  SELECT word, n, substr(word, 1, i::INT) AS head, substr(word, i::INT + 2) AS tail FROM (SELECT *, unnest(range(length(word))) AS i FROM w)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM held a JOIN held b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM held a JOIN w b ON a.head || a.tail = b.word
+  UNION SELECT b.word, a.word, a.n FROM held a JOIN w b ON a.head || a.tail = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS other, max(n) AS form_n FROM near GROUP BY word),
+known AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 5 * w.n THEN other END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+  FROM w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at FROM known
+  UNION ALL SELECT walk.word, known.form FROM walk JOIN known ON known.word = walk.at WHERE known.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.at AS root FROM walk JOIN known ON known.word = walk.at WHERE known.form IS NULL)
+SELECT known.word, form, root, n, n_near, form_n FROM known JOIN ends USING (word)""",
     "op2_chat_formatting": f"""WITH {_TURNS}
 SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
