@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import ann, byte_pairs, chat, html_text, language, mixing, neardup, pieces, pigeonhole, secrets, spelling, warc
+from tramline.llm import ann, byte_pairs, chat, html_text, language, mixing, neardup, pieces, pigeonhole, repair, secrets, spelling, warc
 from tramline.session import table
 
 
@@ -132,6 +132,11 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(found).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of all conversations after damage, their cheapest repair and a hash of the result."""
+    return repair.report(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
@@ -145,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": op10_html_extraction,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _TURNS = """turns AS (
@@ -163,6 +169,46 @@ _BYTES = """flatten(list_transform(string_split({0}, ''), lambda a:
   CASE WHEN unicode(a) < 128 THEN [unicode(a)::BIGINT] ELSE [192 + (unicode(a)::BIGINT >> 6), 128 + (unicode(a)::BIGINT & 63)] END))"""
 
 SQL: dict[str, str] = {
+    "op13_conversation_repair": f"""WITH RECURSIVE told AS (
+  SELECT conv_id, coalesce('=' || conv_id, '-') AS key, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC.format(_BYTES.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"))} % 20 AS how FROM conversations),
+after AS (
+  SELECT key, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN how = 1 THEN '' WHEN how = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN how = 3 THEN 2 ELSE 1 END)) AS copy FROM told WHERE how <> 0),
+placed AS (
+  SELECT *, row_number() OVER w AS pos, row_number() OVER (PARTITION BY key, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    substr(role, 1, 1) AS c, lag(substr(role, 1, 1)) OVER w AS before, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown
+  FROM after WINDOW w AS (PARTITION BY key ORDER BY turn NULLS FIRST, role, text, copy)),
+judged AS (
+  SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    (pos > 1 AND before || c NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal FROM placed),
+added(a, b, cost, letters, out) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 5, 'I', chr(10) || 'user:'), (0, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 2, 5, 'I', chr(10) || 'user:'),
+  (1, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 3, 5, 'I', chr(10) || 'assistant:'), (3, 2, 5, 'I', chr(10) || 'user:')),
+edits(a, b, cost, letter, c, role) AS (VALUES (0, 0, 2, 'D', NULL, NULL), (1, 1, 2, 'D', NULL, NULL), (2, 2, 2, 'D', NULL, NULL), (3, 3, 2, 'D', NULL, NULL),
+  (0, 1, 0, 'K', 's', NULL), (0, 2, 0, 'K', 'u', NULL), (1, 2, 0, 'K', 'u', NULL), (3, 2, 0, 'K', 'u', NULL), (2, 3, 0, 'K', 'a', NULL),
+  (0, 2, 1, 'R', NULL, 'user'), (1, 2, 1, 'R', NULL, 'user'), (3, 2, 1, 'R', NULL, 'user'), (2, 3, 1, 'R', NULL, 'assistant')),
+walk AS (
+  SELECT key, 0::BIGINT AS pos, 0 AS state, {{'cost': 0::BIGINT, 'audit': '', 'out': ''}} AS best FROM (SELECT DISTINCT key FROM judged)
+  UNION ALL
+  SELECT w.key, j.pos, e.b, min({{'cost': (best.cost + i.cost + e.cost + CASE WHEN j.fault = 'truncated' AND letter <> 'D' THEN 5 ELSE 0 END)::BIGINT,
+    'audit': best.audit || i.letters || letter,
+    'out': best.out || i.out || CASE WHEN letter = 'D' THEN '' ELSE chr(10) || coalesce(e.role, j.role) || ':' || j.text END}})
+  FROM walk w JOIN judged j ON j.key = w.key AND j.pos = w.pos + 1 JOIN added i ON i.a = w.state JOIN edits e ON e.a = i.b
+  WHERE (letter = 'D' OR j.fault NOT IN ('blank', 'duplicate')) AND (e.c IS NULL OR e.c = j.c)
+  GROUP BY w.key, j.pos, e.b),
+counts AS (
+  SELECT key, max(pos) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    sum(illegal)::BIGINT AS illegal FROM judged GROUP BY key),
+ended AS (
+  SELECT w.key, min({{'cost': (best.cost + i.cost)::BIGINT, 'audit': best.audit || i.letters, 'out': best.out || i.out}}) AS best
+  FROM walk w JOIN counts USING (key) JOIN added i ON i.a = w.state WHERE w.pos = n AND i.b IN (0, 3) GROUP BY w.key)
+SELECT any_value(t.conv_id) AS conv_id, coalesce(any_value(gaps), 0) AS gaps, coalesce(any_value(blank), 0) AS blank, coalesce(any_value(duplicate), 0) AS duplicate,
+  coalesce(any_value(truncated), 0) AS truncated, coalesce(any_value(illegal), 0) AS illegal, coalesce(any_value(best.cost), 0) AS cost,
+  coalesce(any_value(best.audit), '') AS audit, sha256(coalesce(substr(any_value(best.out), 2), '')) AS repaired_sha256
+FROM told t LEFT JOIN counts USING (key) LEFT JOIN ended USING (key) GROUP BY key""",
     "op12_spelling_variants": f"""WITH RECURSIVE runs AS (
   SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
 counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
