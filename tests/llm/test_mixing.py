@@ -78,3 +78,13 @@ def test_empty_equal_and_materialised(spark):
 def test_sql(spark):
     folder = f"{TESTDATA}/sf0.001"
     assert differences(queries.op4_source_mixing(spark, folder), connect(folder), queries.SQL["op4_source_mixing"]) is None
+
+
+def test_many_sources_and_clashing_columns(spark, monkeypatch):
+    """More sources than are broadcast: the same mix; columns of the results' names are replaced."""
+    rows = [(k, f"{'w ' * (k % 7)}{k}", None if k % 11 == 0 else f"s{min(k % 60, 25)}", "clash", 1, 2) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies string, target int, threshold int")
+    few = {tuple(r) for r in mixing.mix(docs).select("doc_id", "size", "source_size", "target", "copies", "taken", "threshold").collect()}
+    monkeypatch.setattr(mixing, "FEW", 20)  # 27 sources; those with more than a twentieth of the rows are hot
+    many = [tuple(r) for r in mixing.mix(docs).select("doc_id", "size", "source_size", "target", "copies", "taken", "threshold").collect()]
+    assert len(many) == 900 and set(many) == few

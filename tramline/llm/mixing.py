@@ -3,7 +3,7 @@
 Sizes are summed by source and hash bucket. Each source's budget then falls into one bucket: everything
 below it is taken, and only that bucket is summed again by the next digits of the hash, until single
 hash values are left. The result is one threshold per source, so the mix is a filter without a sort, and
-mixes of growing budgets are nested.
+mixes of growing budgets are nested. Texts are never shuffled where the sources are few, nor those of any source with many rows.
 
 A target above its source's size is met by repeating: every document is taken ``floor(target / size)``
 times and those below the threshold once more. A document is never taken more than ``most`` times, as
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 from tramline.session import cut_lineage
 
+#: Up to so many sources their plan is broadcast. Of more, those with over ``1 / FEW`` of the rows (so at most as many) are,
+#: and the others meet their plan by a join on the source, in which none of them weighs much.
+FEW = 10_000
 #: Hex digits of the hash by which one round tells buckets apart, and how many rounds: 15 digits (60 bits) decide.
 DIGITS, ROUNDS = 3, 5
 
@@ -63,27 +66,40 @@ def targets(sizes: DataFrame, most: float = 3.0, cycle: tuple[int, ...] = (1, 2,
     return ranked.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """rows: source, size, place; goals: source, budget. -> source, threshold: places below it are within budget.
+def with_plan(rows: DataFrame, source: str, plan: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Rows with what ``plan`` (``mix__source`` and more) says of their source; rows of other sources go.
+
+    ``hot``: sources (``mix__hot``, at most ``FEW``) whose rows must not meet in one task; None where the plan has ``FEW`` rows at most.
+    """
+    same = F.col(source).eqNullSafe(F.col("mix__source"))
+    if hot is None:
+        return rows.join(F.broadcast(plan), same)
+    planned = F.col("mix__source").eqNullSafe(F.col("mix__hot"))
+    many = rows.join(F.broadcast(plan.join(F.broadcast(hot), planned, "left_semi")), same)
+    return many.union(rows.join(F.broadcast(hot), F.col(source).eqNullSafe(F.col("mix__hot")), "left_anti").join(plan, same))
+
+
+def thresholds(rows: DataFrame, goals: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """rows: source, size, place; goals: source, budget; hot: as in ``with_plan``. -> source, threshold: places below it are within budget.
 
     Each round keeps the buckets of the source's boundary prefix, one row per bucket (at most 16 ** DIGITS
     of each source), and moves on to the bucket in which the running sum passes the budget. At the end the
     boundary holds one hash value, which is taken if that brings the sum nearer to the budget.
     """
-    open_ = goals.select("source", F.col("budget").alias("mix__left"), F.lit("").alias("mix__prefix"))
+    open_ = goals.select(F.col("source").alias("mix__source"), F.col("budget").alias("mix__left"), F.lit("").alias("mix__prefix"))
     for k in range(1, ROUNDS + 1):
-        inside = rows.join(open_, rows["source"].eqNullSafe(open_["source"]) & (F.substring("place", 1, (k - 1) * DIGITS) == F.col("mix__prefix")))
-        buckets = inside.groupBy(rows["source"], "mix__left", F.substring("place", 1, k * DIGITS).alias("mix__bucket")).agg(F.sum("size").alias("mix__size"))
+        inside = with_plan(rows, "source", open_, hot).filter(F.substring("place", 1, (k - 1) * DIGITS) == F.col("mix__prefix"))
+        buckets = inside.groupBy("source", "mix__left", F.substring("place", 1, k * DIGITS).alias("mix__bucket")).agg(F.sum("size").alias("mix__size"))
         running = F.sum("mix__size").over(Window.partitionBy("source").orderBy("mix__bucket").rowsBetween(Window.unboundedPreceding, 0))
         buckets = buckets.withColumn("mix__upto", running)
         passed = buckets.filter(F.col("mix__upto") > F.col("mix__left"))
         first = passed.groupBy("source").agg(F.min(F.struct("mix__bucket", "mix__upto", "mix__size", "mix__left")).alias("b"))
         left = F.col("b.mix__left") - (F.col("b.mix__upto") - F.col("b.mix__size"))
-        open_ = cut_lineage(first.select("source", left.alias("mix__left"), F.col("b.mix__bucket").alias("mix__prefix"), F.col("b.mix__size").alias("mix__size")))
+        open_ = cut_lineage(first.select(F.col("source").alias("mix__source"), left.alias("mix__left"), F.col("b.mix__bucket").alias("mix__prefix"), F.col("b.mix__size").alias("mix__size")))
         if k < ROUNDS:
             open_ = open_.drop("mix__size")
     above = F.concat(F.col("mix__prefix"), F.lit("~"))  # sorts behind every place with that prefix
-    return open_.select("source", F.when(2 * F.col("mix__left") > F.col("mix__size"), above).otherwise(F.col("mix__prefix")).alias("threshold"))
+    return open_.select(F.col("mix__source").alias("source"), F.when(2 * F.col("mix__left") > F.col("mix__size"), above).otherwise(F.col("mix__prefix")).alias("threshold"))
 
 
 def mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source", most: float = 3.0, cycle: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -96,17 +112,21 @@ def mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str =
         words(F.col(text)).alias("size"), position(F.col(doc), F.col(text)).alias("mix__place"),
     )
     slim = cut_lineage(sized.select(F.col(source).alias("source"), "size", F.col("mix__place").alias("place")))
-    sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = cut_lineage(targets(sizes, most, cycle))
+    sizes = cut_lineage(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("mix__rows")))
+    hot = None
+    if sizes.count() > FEW:
+        rows = sizes.agg(F.sum("mix__rows")).first()[0]
+        hot = sizes.filter(F.col("mix__rows") * FEW > rows).select(F.col("source").alias("mix__hot"))
+    goals = cut_lineage(targets(sizes.drop("mix__rows"), most, cycle))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     plan = goals.withColumn("mix__whole", whole).withColumn("mix__budget", F.col("target") - F.col("mix__whole") * F.col("source_size"))
-    cuts = thresholds(slim.filter("size > 0"), plan.select("source", F.col("mix__budget").alias("budget")).filter("budget > 0"))
+    cuts = thresholds(slim.filter("size > 0"), plan.select("source", F.col("mix__budget").alias("budget")).filter("budget > 0"), hot)
     plan = plan.join(cuts.withColumnRenamed("source", "mix__s"), F.col("source").eqNullSafe(F.col("mix__s")), "left").select(
         F.col("source").alias("mix__source"), "source_size", "target", "mix__whole", F.coalesce("threshold", F.lit("")).alias("mix__threshold")
     )
     copies = F.col("mix__whole") + (F.col("mix__place") < F.col("mix__threshold")).cast("bigint")
     return (
-        sized.join(plan, F.col(source).eqNullSafe(F.col("mix__source")))
+        with_plan(sized, source, cut_lineage(plan), hot)
         .withColumn("copies", copies)
         .withColumn("taken", F.col("copies") * F.col("size"))
         .drop("mix__source", "mix__whole", "mix__threshold", "mix__place")
