@@ -95,6 +95,7 @@ def test_frames(spark, both):
         assert r["ids"] == both[1].encode_ordinary(r["text"]) and r["decoded"] == r["text"].encode()
     assert len(out) == len(texts)
     empty = docs.limit(0)
+    assert byte_pairs.digests(empty, RANKS, PATTERN).collect() == []
     assert byte_pairs.decode(byte_pairs.encode(empty, RANKS, PATTERN), RANKS).collect() == []
 
 

@@ -96,3 +96,14 @@ def test_query_round_trips(spark):
     got = {r.doc_id: r for r in queries.op1_sentencepiece(spark, folder).collect()}
     for d in spark.read.parquet(f"{folder}/documents.parquet").collect():
         assert got[d.doc_id].ids == library.encode(d.text) and got[d.doc_id].round_trip and got[d.doc_id].n_ids == len(got[d.doc_id].ids)
+
+
+def test_one_pass_equals_two(spark):
+    texts = [None, "", *odd_texts(8, 60)]
+    docs = spark.createDataFrame([(t, "clash", 1) for t in texts], "text string, ids string, __x int")
+    two = pieces.decode(pieces.encode(docs, MODEL), MODEL)
+    one = pieces.read_back(docs, MODEL)
+    assert sorted(one.columns) == sorted(two.columns)
+    key = lambda r: (r["text"] or "", r["text"] is None)
+    assert sorted(one.select(*two.columns).collect(), key=key) == sorted(two.collect(), key=key)
+    assert pieces.read_back(docs.limit(0), MODEL).collect() == []

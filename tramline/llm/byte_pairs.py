@@ -13,7 +13,7 @@ that happens are done again one merge at a time, so the ids are those of the pla
 **Ranks** are a file of lines ``base64 rank`` that holds all 256 bytes; its path must be readable by every worker. A word that is
 in the file as a whole is that one id. There are no special tokens: their strings are ordinary text.
 
-**Defined results.** Null text gives null ids; the query reads null as empty. An empty text has no ids. Texts of any length are
+**Defined results.** Null text gives null ids; digests read null as empty. An empty text has no ids. Texts of any length are
 encoded whole, words of any length too. Rows are independent: ties, repeated rows, null and repeated ids of documents and an empty
 table need no rule. All other columns are kept; a column named like the result is replaced. Decoding null gives null; an id
 outside the file is an error that names it.
@@ -24,17 +24,17 @@ from __future__ import annotations
 import base64
 import re
 from array import array
-from functools import lru_cache
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.batches import small
+from tramline.llm.batches import held, small, tidy
 
 #: Letters of distinct words that a worker remembers, and the length up to which a word is worth remembering.
 REMEMBERED, LONGEST = 6_000_000, 64
@@ -107,6 +107,20 @@ class Merges:
                 heappush(heap, (k, before[i]))
         return [t for t in tok if t >= 0]
 
+    def bytes_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids' bytes in a row, and how many bytes the first k ids have; gathered in parts, so that positions take little memory."""
+        if len(ids) and not (0 <= ids.min() and ids.max() < self.size and (self.lengths[ids] > 0).all()):
+            raise ValueError(f"id {next(i for i in ids.tolist() if not 0 <= i < self.size or not self.lengths[i])} is not in the rank file")
+        lengths = self.lengths[ids]
+        upto = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        out = np.empty(upto[-1], np.uint8)
+        for a in range(0, len(ids), 1 << 20):
+            part, n = ids[a : a + (1 << 20)], lengths[a : a + (1 << 20)]
+            base = int(upto[a])
+            shift = np.repeat(self.starts[part] - (upto[a : a + len(part)] - base), n)
+            out[base : base + len(shift)] = self.data[shift + np.arange(len(shift))]
+        return out, upto
+
     def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and the number of ids of each (no word is empty)."""
         data = np.frombuffer(b"".join(words), np.uint8)
@@ -267,16 +281,15 @@ class Encoder:
         self.letters += sum(map(len, coded))
 
 
-@lru_cache(maxsize=2)
 def merges(path: str) -> Merges:
-    """One rank file per worker."""
+    """A rank file's tables."""
     with open(path, "rb") as lines:
         return Merges({base64.b64decode(t): int(k) for t, k in map(bytes.split, filter(None, map(bytes.strip, lines)))})
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(merges(path), pattern)
+def encoder(path: str, pattern: str = "") -> Encoder:
+    """One encoder per worker."""
+    return held(("byte_pairs", path, pattern), lambda: Encoder(merges(path), pattern))
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
@@ -284,57 +297,50 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", into:
     small(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
+    @tidy(keep=True)
     def ids(texts: pa.Array) -> pa.Array:
         found, ends = encoder(ranks, pattern).block([x.as_py() or "" for x in texts])
         offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
         return pa.ListArray.from_arrays(offsets, pa.array(found), mask=texts.is_null())
 
-    # Declared non-deterministic so that the optimizer does not run it once per use of its result.
-    return docs.withColumn(into, ids.asNondeterministic()(F.col(text)))
+    return docs.withColumn(into, ids(F.col(text)))
 
 
 def decode(docs: DataFrame, ranks: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """All columns and ``into``: the bytes of ``ids``."""
 
     @F.arrow_udf("binary")
+    @tidy(keep=True)
     def joined(rows: pa.Array) -> pa.Array:
-        m = merges(ranks)
-        values, ends = _flat(rows)
-        if len(values) and not (0 <= values.min() and values.max() < m.size and (m.lengths[values] > 0).all()):
-            raise ValueError(f"id {next(i for i in values.tolist() if not 0 <= i < m.size or not m.lengths[i])} is not in the rank file")
-        lengths = m.lengths[values]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        out = np.empty(upto[-1], np.uint8)
-        for a in range(0, len(values), 1 << 20):
-            part, n = values[a : a + (1 << 20)], lengths[a : a + (1 << 20)]
-            base = int(upto[a])
-            shift = np.repeat(m.starts[part] - (upto[a : a + len(part)] - base), n)
-            out[base : base + len(shift)] = m.data[shift + np.arange(len(shift))]
-        offsets = np.concatenate([[0], upto[ends]]).astype(np.int32)
+        values = rows.flatten().to_numpy(zero_copy_only=False)
+        counts = np.asarray(rows.value_lengths().fill_null(0), np.int64) if len(rows) else np.zeros(0, np.int64)
+        out, upto = encoder(ranks).merges.bytes_of(values)
+        offsets = np.concatenate([[0], upto[np.cumsum(counts)]]).astype(np.int32)
         none = pa.py_buffer(np.packbits(np.asarray(rows.is_valid()), bitorder="little").tobytes())
         return pa.Array.from_buffers(pa.binary(), len(rows), [none, pa.py_buffer(offsets), pa.py_buffer(out)])
 
     return docs.withColumn(into, joined(F.col(ids)))
 
 
-def _flat(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All ids in a row, and where each row's ids end (a null row has none)."""
-    values = rows.flatten().to_numpy(zero_copy_only=False)
-    counts = np.asarray(rows.value_lengths().fill_null(0), np.int64) if len(rows) else np.zeros(0, np.int64)
-    return values, np.cumsum(counts)
-
-
-def ids_sha256(ids: Column) -> Column:
-    """Lowercase hex SHA-256 of ids as little-endian unsigned 32-bit integers; null for null."""
-
-    @F.arrow_udf("string")
-    def digest(rows: pa.Array) -> pa.Array:
-        from hashlib import sha256
-
-        values, ends = _flat(rows)
-        values = np.ascontiguousarray(values, "<u4") if len(values) else np.zeros(0, "<u4")
-        starts = [0, *ends[:-1].tolist()]
-        valid = rows.is_valid().to_pylist()
-        return pa.array([sha256(values[a:b].tobytes()).hexdigest() if v else None for a, b, v in zip(starts, ends.tolist(), valid)], pa.string())
+def digests(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
+    """All columns and, of ``encode`` and ``decode`` in one worker, ``n_tokens``, ``ids_sha256`` (hex digest of the ids as
+    little-endian unsigned 32-bit integers) and ``decoded_sha256`` (of the decoded bytes). Null text counts as empty.
+    """
+    small(docs.sparkSession)
 
-    return digest(ids)
+    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    @tidy(keep=True)
+    def both(texts: pa.Array) -> pa.Array:
+        e = encoder(ranks, pattern)
+        found, ends = e.block([x.as_py() or "" for x in texts])
+        data, upto = e.merges.bytes_of(found)
+        starts = np.concatenate([[0], ends]).astype(np.int64)[:-1]
+        coded = np.ascontiguousarray(found, "<u4")
+        digest = lambda rows, a, b: [sha256(rows[i:j]).hexdigest() for i, j in zip(a.tolist(), b.tolist())]
+        made = [pa.array(ends - starts, pa.int64()), pa.array(digest(coded, starts, ends), pa.string()), pa.array(digest(data, upto[starts], upto[ends]), pa.string())]
+        return pa.StructArray.from_arrays(made, names=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    # Declared non-deterministic so that the optimizer does not run it once per use of its fields.
+    names = ("n_tokens", "ids_sha256", "decoded_sha256")
+    done = docs.withColumn("__both", both.asNondeterministic()(F.col(text)))
+    return done.withColumns({c: F.col(f"__both.{c}") for c in names}).drop("__both")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.batches import small
+from tramline.llm.batches import small, tidy
 from tramline.llm.sampling import bounded
 
 ORDER = 3
@@ -193,6 +193,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64())])
 
     @F.arrow_udf("struct<lang_pred:string,score:double,bits:double>")
+    @tidy()
     def best(texts: pa.Array) -> pa.Array:
         m = shared.value
         lengths = m.code_lengths(texts)

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.batches import small
+from tramline.llm.batches import small, tidy
 from tramline.llm.components import components
 from tramline.session import cut_lineage
 
@@ -230,6 +230,7 @@ def keys(text: Column, weights: Weights) -> Column:
     """Array of band keys, those by counts last; null for texts without words."""
 
     @F.arrow_udf("array<bigint>")
+    @tidy()
     def run(texts: pa.Array) -> pa.Array:
         made: list[np.ndarray] = [np.empty(0, np.int64)] * len(texts)
         for first, rows in shingles(texts):

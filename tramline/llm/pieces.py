@@ -29,14 +29,13 @@ import math
 import re
 import struct
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.batches import small
+from tramline.llm.batches import held, small, tidy
 
 MARK = "▁"
 #: Words and pairs remembered by a worker before its memory starts afresh, and the longest word remembered.
@@ -402,9 +401,9 @@ class Transducer:
         return self.coded(text).tolist()
 
     def decode(self, ids: list[int]) -> str:
-        out: list[str] = []
         text_of, byte_of = self.text_of, self.byte_of
-        if not byte_of.keys().isdisjoint(ids):
+        if byte_of and not byte_of.keys().isdisjoint(ids):
+            out: list[str] = []
             held = bytearray()
             for i in ids:
                 if i in byte_of:
@@ -415,9 +414,9 @@ class Transducer:
                     held.clear()
                 out.append(text_of[i])
             out.append(_characters(bytes(held)))
+            text = "".join(out)
         else:
-            out = [text_of[i] for i in ids]
-        text = "".join(out)
+            text = "".join(map(text_of.__getitem__, ids))
         if self.model.add_prefix and text.startswith(" "):
             first = next(i for i in ids if i in byte_of or text_of[i])
             return text if first in byte_of else text[1:]
@@ -436,10 +435,9 @@ def _characters(data: bytes) -> str:
     return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def transducer(path: str) -> Transducer:
     """One compiled model per worker."""
-    return Transducer(path)
+    return held(("pieces", path), lambda: Transducer(path))
 
 
 def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -> DataFrame:
@@ -447,6 +445,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -
     small(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
+    @tidy(keep=True)
     def ids(texts: pa.Array) -> pa.Array:
         t = transducer(model)
         values, ends = array("i"), array("i", [0])
@@ -458,10 +457,36 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -
     return docs.withColumn(into, ids(F.col(text)))
 
 
+def read_back(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass of one worker: all columns, ``ids`` and ``decoded``."""
+    small(docs.sparkSession)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    @tidy(keep=True)
+    def both(texts: pa.Array) -> pa.Array:
+        t = transducer(model)
+        values, ends, read = array("i"), array("i", [0]), []
+        for part in (texts[k : k + 500] for k in range(0, len(texts), 500)):
+            made = []
+            for x in part:
+                own = t.coded(x.as_py() or "")
+                values.extend(own)
+                ends.append(len(values))
+                made.append(t.decode(own) if x.is_valid else None)
+            read.append(pa.array(made, pa.string()))
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(values, np.int32)), mask=texts.is_null())
+        return pa.StructArray.from_arrays([listed, pa.concat_arrays(read) if read else pa.array([], pa.string())], names=["ids", "decoded"])
+
+    # Declared non-deterministic so that the optimizer does not run it once per use of its fields.
+    done = docs.withColumn("__both", both.asNondeterministic()(F.col(text)))
+    return done.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
+
+
 def decode(docs: DataFrame, model: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """All columns and ``into``: the text of ``ids``."""
 
     @F.arrow_udf("string")
+    @tidy(keep=True)
     def texts(rows: pa.Array) -> pa.Array:
         t = transducer(model)
         parts = [rows[k : k + 500] for k in range(0, max(len(rows), 1), 500)]

@@ -19,7 +19,7 @@ TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 def op1_sentencepiece(spark: SparkSession, folder: str, model: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
     """Every document's ids, and whether decoding them gives its text back."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    read = pieces.decode(pieces.encode(docs, model), model)
+    read = pieces.read_back(docs, model)
     return read.select(
         "doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
@@ -119,11 +119,9 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = byte_pairs.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return byte_pairs.decode(coded, ranks).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), byte_pairs.ids_sha256(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = byte_pairs.digests(docs, ranks, public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:

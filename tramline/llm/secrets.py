@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.batches import small
+from tramline.llm.batches import small, tidy
 from tramline.llm.sampling import bounded
 from tramline.session import cut_lineage
 
@@ -299,6 +299,7 @@ def scan(docs: DataFrame, formats: Formats, text: str = "text", least_gain: floa
     names = [*KINDS, FORMAT]
 
     @F.arrow_udf("array<struct<kind:string,start:int,end:int>>")
+    @tidy()
     def spans(texts: pa.Array) -> pa.Array:
         return pa.array([[(names[k], a, b) for a, k, b, _ in formats.spans(t, least_gain)] if t else [] for t in texts.to_pylist()], kind)
 
