@@ -43,7 +43,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, model: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
-    read = pieces.decode(pieces.encode(docs.select(COLUMNS), model), model)
+    read = pieces.read_back(docs.select(COLUMNS), model)
     return read.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("bigint").alias("n_ids"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
