@@ -14,6 +14,7 @@ from tramline.catalog import (  # noqa: F401
     reshaping,
     statistics,
     texts,
+    warehouse,
     windowing,
 )
 from tramline.catalog.base import COVERS, ORACLES, QUERIES

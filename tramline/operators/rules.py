@@ -7,9 +7,10 @@ report rows (table_name, rule, column_name, violations, passed, row_count).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,15 +157,26 @@ def summary(report: DataFrame) -> DataFrame:
     )
 
 
+class Failure(NamedTuple):
+    table: str
+    rule: str
+    column: str
+    violations: int
+
+
 class RejectedWave(RuntimeError):
     """A table of the wave broke a rule, so nothing of the wave is written."""
 
+    def __init__(self, failures: Sequence[Failure]):
+        super().__init__("; ".join(f"{f.table}: {f.rule} {f.column} ({f.violations})" for f in failures))
+        self.failures = list(failures)
+
 
 def gate(report: DataFrame) -> None:
     """Raise if any check failed. The report has a handful of rows per table."""
     failed = report.filter(~F.col("passed")).select("table_name", "rule", "column_name", "violations").collect()
     if failed:
-        raise RejectedWave("; ".join(f"{r[0]}: {r[1]} {r[2]} ({r[3]})" for r in failed))
+        raise RejectedWave([Failure(*r) for r in failed])
 
 
 # --- expectations on one measured value -----------------------------------------------------

@@ -98,6 +98,7 @@ STATION_ALIASES = {
 # --- rules --------------------------------------------------------------------------------
 
 
+# What must hold for each table.
 def _rules() -> dict[str, TableRules]:
     tables = [
         TableRules(
@@ -231,14 +232,39 @@ UPDATE_RULES = {
     if name not in ("fact_bike_gauge", "fact_train_arrivals", "fact_counts", "fact_weather")
 }
 
+# The foreign keys of the model, dimensions first.
 FOREIGN_KEYS = {
+    "dim_department": {"start_date": ("dim_date", "date_key"), "end_date": ("dim_date", "date_key")},
+    "dim_staff": {"department_key": ("dim_department", "department_key")},
+    "dim_student": {"department_key": ("dim_department", "department_key")},
+    "dim_worker": {"location_key": ("dim_location", "location_key")},
+    "dim_station": {"location_key": ("dim_location", "location_key")},
+    "dim_bike_station": {"location_key": ("dim_location", "location_key")},
+    "dim_counting_point": {"location_key": ("dim_location", "location_key")},
     "fact_counts": {"counting_point_id": ("dim_counting_point", "counting_point_id"), "date_key": ("dim_date", "date_key")},
+    "fact_weather": {"date_key": ("dim_date", "date_key")},
+    "fact_staff_commute": {"staff_key": ("dim_staff", "staff_key"), "date_key": ("dim_date", "date_key")},
     "fact_bike_gauge": {
         "bike_station_key": ("dim_bike_station", "bike_station_key"),
         "date_key": ("dim_date", "date_key"),
         "time_key": ("dim_time", "time_key"),
         "linked_station_key": ("dim_station", "station_key"),
     },
-    "fact_staff_commute": {"staff_key": ("dim_staff", "staff_key"), "date_key": ("dim_date", "date_key")},
-    "fact_train_arrivals": {"station_key": ("dim_station", "station_key"), "date_key": ("dim_date", "date_key")},
+    "fact_worker_mobility": {
+        "worker_id": ("dim_worker", "worker_id"),
+        "date_key": ("dim_date", "date_key"),
+        "transport_key": ("dim_transport_type", "transport_key"),
+    },
+    "fact_train_arrivals": {
+        "station_key": ("dim_station", "station_key"),
+        "date_key": ("dim_date", "date_key"),
+        "start_time": ("dim_time", "time_key"),
+        "end_time": ("dim_time", "time_key"),
+    },
+    "fact_department": {"date_key": ("dim_date", "date_key"), "department_key": ("dim_department", "department_key")},
+    "fact_student_mobility": {
+        "student_key": ("dim_student", "student_key"),
+        "date_key": ("dim_date", "date_key"),
+        "transport_key": ("dim_transport_type", "transport_key"),
+    },
 }
