@@ -70,3 +70,10 @@ def test_copied_articles_with_tags_of_their_own_stay(spark):
     assert [copies[k] for k in range(5)] == [want] * 5 and copies[7] == "T2\n\nWords 2"
     syndicated = got(spark, [page.format(k, own) for k in range(5)] + others)
     assert [syndicated[k] for k in range(5)] == [want] * 5
+
+
+def test_left_out_elements_hold_at_any_depth():
+    """What stands inside a sidebar stays out, however deep; elements closed again leave the text after them in."""
+    for deep in (50, 500, 5_000):
+        page = '<div class="sidebar">' + "<div>" * deep + "MENU" + "</div>" * deep + "</div><p>real</p>"
+        assert html_text.blocks(page, {}) == ["real"]

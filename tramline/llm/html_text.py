@@ -40,6 +40,8 @@ from tramline.session import cut_lineage
 TOKENS, SHARE, PAGES = 3, 0.1, 4
 #: Copied pages (host and hash) that are broadcast.
 _FEW = 100_000
+#: Paths longer than this are carried as their hash.
+_PATH = 2_000
 
 _MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
@@ -137,6 +139,8 @@ def events(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         path, content, inside = around()
         first = attrs.get("class", "").split()
         path = f"{path}/{name}" + (f".{first[0]}" if first else "")
+        if len(path) > _PATH:  # of deep nesting: the same for the same path, and no longer
+            path = f"{_key(path):x}"
         content = content and not _left_out(name, attrs, inside)
         inside = inside or (name in ("article", "main") or attrs.get("role") in ("main", "article")) and content
         yield "tag", path, name, content, inside
@@ -149,8 +153,6 @@ def events(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
                 yield "text", path, page[at:stop], content and name in ("textarea", "title", "xmp"), inside
             at = stop
         open_.append((name, path, content, inside))
-        if len(open_) > 400:  # nesting beyond what pages have: flatten, or paths grow without end
-            del open_[200:-1]
 
 
 def _key(*parts: str) -> int:
