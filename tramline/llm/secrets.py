@@ -276,14 +276,14 @@ def _others(batches):
         yield pa.RecordBatch.from_pydict({"kind": [_stratum(w) for w in found], "value": found}, schema=_VALUES)
 
 
-def learn(docs: DataFrame, doc: str = "doc_id", text: str = "text", documents: int = 10_000, values: int = 1_000) -> Formats:
+def learn(docs: DataFrame, doc: str = "doc_id", text: str = "text", documents: int = 10_000, values: int = 1_000, longest: int = 1_000) -> Formats:
     """Formats from about ``values`` different credentials of each kind in all documents, and about ``values`` other runs of each stratum of ``documents`` documents.
 
-    ``values`` bounds what comes to the driver; single values of over 1,000 characters teach nothing about a format.
+    ``values`` bounds what comes to the driver, with ``longest``, the length up to which a value teaches a format.
     """
     sample = bounded(docs.select(doc, text), documents, [doc]).select(text)
     found = docs.select(text).mapInArrow(_labelled, "kind string, value string").union(sample.mapInArrow(_others, "kind string, value string"))
-    found = cut_lineage(found.filter(F.length("value") <= 1_000).distinct())
+    found = cut_lineage(found.filter(F.length("value") <= longest).distinct())
     rows = bounded(found, values, ["value"], group="kind").collect()
     by_kind: dict[str, list[str]] = defaultdict(list)
     for kind, value in sorted(map(tuple, rows)):
