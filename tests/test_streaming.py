@@ -140,3 +140,62 @@ def test_gauge_stream_appends_each_snapshot_once(spark, tmp_path):
         query.awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("id", "date_key", "time_key").collect())
     assert got == [(1, 20260321, 800), (1, 20260321, 805)]
+
+
+class _Breaks(arrivals.ArrivalSink):
+    """Loses its driver once, on the second batch: before its commit or right after it."""
+
+    def __init__(self, *args, after: bool):
+        super().__init__(*args)
+        self.after, self.broken = after, False
+
+    def commit(self, spark, batch_id):
+        if batch_id == 1 and not self.broken:
+            self.broken = True
+            if self.after:
+                super().commit(spark, batch_id)
+            raise RuntimeError("lost")
+        super().commit(spark, batch_id)
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_a_broken_batch_is_published_once(spark, stations, rows, tmp_path, after):
+    polls = [polled for _, polled in _polls(range(6, 15))]
+    sink = _Breaks(str(tmp_path / "staging"), str(tmp_path / "fact"), stations, after=after)
+    for i, polled in enumerate([polls[:4], polls[4:7], polls[7:]]):
+        staging(spark, *[r for p in polled for r in p]).coalesce(1).write.parquet(str(tmp_path / "landed" / f"poll={i}"))
+        stream = spark.readStream.schema(arrivals.STAGING).parquet(str(tmp_path / "landed" / "*"))
+        for _ in range(2):
+            query = arrivals.run_arrival_stream(stream, sink, str(tmp_path / "checkpoint"))
+            try:
+                query.awaitTermination()
+            except Exception:
+                assert i == 1 and sink.committed(spark) == ([0, 1] if after else [0])
+    want, left = arrivals.promote(staging(spark, *[r for p in polls for r in p]), stations, datetime(2026, 3, 21, 14, 0))
+    assert sink.broken and sink.committed(spark) == [0, 1, 2]
+    assert rows(sink.facts(spark)) == rows(want)
+    assert rows(sink.staging(spark)) == rows(left)
+
+
+def test_what_is_not_committed_is_not_seen(spark, stations, example, tmp_path):
+    sink = _Breaks(str(tmp_path / "staging"), str(tmp_path / "fact"), stations, after=False)
+    assert sink.facts(spark).isEmpty() and sink.staging(spark).isEmpty()
+    sink(example, 0)
+    facts, left = sink.facts(spark).collect(), sink.staging(spark).collect()
+    with pytest.raises(RuntimeError, match="lost"):
+        sink(staging(spark, ("X", 1, 20260322, 900, 0, False, datetime(2026, 3, 22, 12, 0))), 1)
+    assert sink.facts(spark).collect() == facts and sink.staging(spark).collect() == left
+
+
+def test_unseen_rows_against_all_that_is_stored(spark, rows, tmp_path):
+    schema = "id int, bikes int, date_key int, time_key int"
+    sink = gauges.UnseenSink(str(tmp_path / "gauge"), ["id", "date_key", "time_key"], schema)
+    assert sink.table(spark).isEmpty()
+    frame = lambda *r: spark.createDataFrame(list(r), schema)
+    sink(frame((1, 5, 20260321, 800), (1, 4, 20260321, 800), (None, 1, None, 800)), 0)
+    sink(frame((1, 9, 20260321, 800), (2, 9, 20260322, 800), (None, 2, None, 800)), 1)
+    sink(frame(), 2)
+    want = [(1, 4, 20260321, 800), (2, 9, 20260322, 800), (None, 1, None, 800)]
+    assert rows(sink.table(spark)) == sorted(want, key=repr)
+    sink(frame((2, 9, 20260322, 800)), 1)  # a replay replaces what its first attempt wrote
+    assert rows(sink.table(spark)) == sorted(want, key=repr)

@@ -13,6 +13,7 @@ from tramline.catalog import (  # noqa: F401
     reporting,
     reshaping,
     statistics,
+    streams,
     texts,
     warehouse,
     windowing,

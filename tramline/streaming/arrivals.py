@@ -22,7 +22,10 @@ STAGING = (
     "train_id string, station_key int, date_key int, time_key int, delay int, "
     "canceled boolean, last_updated timestamp_ntz"
 )
-FACT_COLUMNS = ["station_key", "date_key", "start_time", "end_time", "arrivals"]
+FACT = "station_key int, date_key int, start_time int, end_time int, arrivals int"
+FACT_COLUMNS = [part.split()[0] for part in FACT.split(", ")]
+#: What ``with_windows`` adds, as stored: the verdict is the folder.
+VERDICT = "window_start timestamp_ntz, is_stable boolean, window_stable boolean"
 
 
 def actual_arrival() -> Column:
@@ -59,9 +62,12 @@ def promote(
     """
     moment = as_of if isinstance(as_of, Column) else wall_clock(as_of)
     rows = with_windows(staging, moment, minutes, lateness)
-    ready = rows.filter("window_stable")
     remaining = rows.filter(~F.col("window_stable")).select(*staging.columns)
+    return promoted(rows.filter("window_stable"), stations, minutes), remaining
 
+
+def promoted(ready: DataFrame, stations: DataFrame, minutes: int = 30) -> DataFrame:
+    """Fact rows of staging rows (with ``window_start``) whose windows are stable."""
     counts = ready.groupBy("station_key", "window_start").agg(
         F.count_if(~F.col("canceled")).cast("int").alias("arrivals")
     )
@@ -83,10 +89,9 @@ def promote(
         .select("station_key", F.inline(windows))
     )
     filled = scaffold.join(counts, ["station_key", "window_start"], "left")
-    fact = filled.select(
+    return filled.select(
         "station_key", "date_key", "start_time", "end_time", F.coalesce("arrivals", F.lit(0)).alias("arrivals")
     )
-    return fact, remaining
 
 
 def slot_counts(board: DataFrame, start: datetime | Column, minutes: int = 30) -> DataFrame:
@@ -102,39 +107,67 @@ def slot_counts(board: DataFrame, start: datetime | Column, minutes: int = 30) -
 
 
 class ArrivalSink:
-    """``foreachBatch`` handler keeping staging and fact as folders per batch id.
-
-    Both writes replace the folder of their own batch id only, so a replayed batch gives the
-    same files. Staging of batch n is read from batch n-1. The as-of moment is the newest poll
-    time of the batch, never the clock.
+    """``foreachBatch`` handler that commits fact and staging of a batch together.
+
+    A batch writes all staging rows with the verdict of their window, once, then the fact rows of
+    the stable ones, each into the folder of its batch id. The append of one row to the commit
+    log publishes both: readers take the batches named there only, so they never see the facts
+    of a batch beside the staging of the one before. What a batch leaves in staging is the part
+    of its folder whose windows are not stable. A batch broken before its commit is written
+    again on replay, one that is committed is left as it is. The as-of moment is the newest poll
+    time of the batch, never the clock. One stream (and its checkpoint) belongs to the folders.
     """
 
     def __init__(self, staging_path: str, fact_path: str, stations: DataFrame, lateness: str = "90 minutes"):
         self.staging_path = staging_path
         self.fact_path = fact_path
+        self.commit_path = f"{staging_path.rstrip('/')}-commits"
         self.stations = stations
         self.lateness = lateness
 
-    def staging_after(self, spark: SparkSession, batch_id: int) -> DataFrame:
+    def committed(self, spark: SparkSession) -> list[int]:
+        """Ids of the published batches: one small row a batch."""
         try:
-            return spark.read.schema(STAGING).parquet(f"{self.staging_path}/batch={batch_id}")
+            log = spark.read.schema("batch_id long").parquet(self.commit_path)
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND" or batch_id >= 0:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return []
+        return sorted({r[0] for r in log.collect()})
+
+    def staging_after(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """What batch ``batch_id`` left in staging; nothing before the first batch."""
+        if batch_id < 0:
             return spark.createDataFrame([], STAGING)
+        return self._judged(spark, batch_id).filter("NOT window_stable").select(*STAGING_NAMES)
+
+    def staging(self, spark: SparkSession) -> DataFrame:
+        """Staging as published last."""
+        return self.staging_after(spark, max(self.committed(spark), default=-1))
+
+    def facts(self, spark: SparkSession) -> DataFrame:
+        """Fact rows of all published batches."""
+        paths = [f"{self.fact_path}/batch={n}" for n in self.committed(spark)]
+        return spark.read.schema(FACT).parquet(*paths) if paths else spark.createDataFrame([], FACT)
+
+    def _judged(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return spark.read.schema(f"{STAGING}, {VERDICT}").parquet(f"{self.staging_path}/batch={batch_id}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        arrived = newest_version(batch, STAGING_KEY, "last_updated").select(*STAGING_NAMES)
-        # Staging is written before promotion reads it, so both outputs see the same rows.
+        if batch_id in self.committed(spark):
+            return
+        arrived = newest_version(batch, STAGING_KEY, "last_updated", ["delay", "canceled"]).select(*STAGING_NAMES)
         merged = upsert(self.staging_after(spark, batch_id - 1), arrived, STAGING_KEY)
-        raw = f"{self.staging_path}/merged={batch_id}"
-        merged.write.mode("overwrite").parquet(raw)
-        merged = spark.read.schema(STAGING).parquet(raw)
-        as_of = batch.select(F.max("last_updated")).scalar()
-        fact, remaining = promote(merged, self.stations, as_of, lateness=self.lateness)
+        judged = with_windows(merged, batch.select(F.max("last_updated")).scalar(), lateness=self.lateness)
+        # Written before the facts are counted, so both outputs come from the same rows.
+        judged.write.mode("overwrite").partitionBy("window_stable").parquet(f"{self.staging_path}/batch={batch_id}")
+        fact = promoted(self._judged(spark, batch_id).filter("window_stable"), self.stations)
         fact.write.mode("overwrite").parquet(f"{self.fact_path}/batch={batch_id}")
-        remaining.write.mode("overwrite").parquet(f"{self.staging_path}/batch={batch_id}")
+        self.commit(spark, batch_id)
+
+    def commit(self, spark: SparkSession, batch_id: int) -> None:
+        spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("append").parquet(self.commit_path)
 
 
 STAGING_NAMES = [part.split()[0] for part in STAGING.split(", ")]
