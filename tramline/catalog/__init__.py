@@ -7,6 +7,7 @@ from tramline.catalog import (  # noqa: F401
     grouping,
     incremental,
     joining,
+    landed,
     models,
     params,
     quality,

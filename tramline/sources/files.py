@@ -15,9 +15,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: str | StructTyp
     return spark.read.option("header", True).option("sep", sep).schema(schema).csv(path)
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema: str | StructType) -> DataFrame:
-    """JSON payloads, one array or object per file or line."""
-    return spark.read.option("multiLine", True).schema(schema).json(path)
+def read_json(spark: SparkSession, path: str | list[str], schema: str | StructType, lines: bool = False) -> DataFrame:
+    """JSON payloads: one array or object per file or, with ``lines``, per line (large files are then split)."""
+    return spark.read.option("multiLine", not lines).schema(schema).json(path)
 
 
 def read_optional(spark: SparkSession, path: str, schema: str | StructType, sep: str = ";") -> DataFrame:
