@@ -48,6 +48,46 @@ def clustered(n, size, seed, spread=0.25):
     return [(i, centres[i % len(centres)] + spread * rng.standard_normal(size)) for i in range(n)]
 
 
+def test_every_length_is_searched(spark):
+    rows = [(i, v) for i, v in clustered(100, 8, 3)] + [(1000 + i, v) for i, v in clustered(40, 4, 4)]
+    got = {}
+    for r in ann.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = plain_nearest(rows[:100]) | plain_nearest(rows[100:])
+    assert {q: [i for i, _ in found] for q, found in want.items()} == got
+
+
+def test_structure_needs_few_blocks_and_short_blocks_starve_no_query(spark, monkeypatch):
+    """Vectors along a line: few blocks hold the neighbours; every query still gets 20."""
+    monkeypatch.setattr(ann, "_BLOCK", 30)
+    angle = np.linspace(0, np.pi, 3000)
+    rows = [(i, [np.cos(a), np.sin(a), 0.01 * np.cos(9 * a)]) for i, a in enumerate(angle)]
+    seen = []
+    reach = ann._reach
+    monkeypatch.setattr(ann, "_reach", lambda *a: seen.append((*reach(*a), a[2])) or seen[-1][:2])
+    got = {}
+    for r in ann.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    assert len(got) == 150 and all(sorted(v) == list(range(1, 21)) for v in got.values())
+    want = plain_nearest(rows)
+    hits = sum(len({i for i, _ in want[q]} & set(v.values())) for q, v in got.items())
+    assert hits >= 0.95 * 20 * len(got)
+    curves, blocks, total = seen[0]
+    assert curves * (2 * blocks + 1) < 0.2 * max(total)
+
+
+def test_enough_rows_around_every_place():
+    assert ann._enough(np.array([50, 1, 1, 50]), 20) == 1
+    assert ann._enough(np.array([1, 1, 1, 1, 30]), 20) == 4
+    assert ann._enough(np.array([5]), 20) == 0
+
+
+def test_repeated_ids_give_one_list(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.1, 0.8]), (3, [0.5, 0.5]), (3, [0.5, 0.5])]
+    got = [tuple(r) for r in ann.nearest(frame(spark, rows), F.col("vec_id") == 0, k=3).orderBy("rank").collect()]
+    assert [r[:3] for r in got] == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
+
+
 def test_hilbert_neighbours_differ_by_one():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3), -1).reshape(-1, 3)
     keys = ann.hilbert_keys(cells, 3)

@@ -10,9 +10,14 @@ How many curves and what reach are needed depends on the data: a fixed number of
 with all rows in blocks, and the cheapest choice that finds ``recall`` of their true neighbours is taken. If the
 vectors have no structure that a curve could follow, that choice is one curve and nearly every block.
 
-Defined cases: vectors that are null, empty, zero, of another length than the sample's, or hold null or
-non-finite components take no part; equal scores go to the smaller id; a query never finds its own row, but
-does find other rows with the same vector; rows of one id and vector count once in a result; an empty table gives no rows;
+Every length of vectors is searched by itself, as there is no inner product between lengths: a driver loop, since a
+table holds the vectors of a few models. Short blocks never starve a query: the reach is at least so wide that the blocks
+around every place of the first curve hold ``k`` rows beside the query.
+
+Defined cases: vectors that are null, empty, zero, or hold null or
+non-finite components take no part; vectors of different lengths never meet; equal scores go to the smaller id; a query never finds its own row, but
+does find other rows with the same vector; rows of one id and vector count once in a result; several query rows of one id
+are answered by one list, the best of all of them; an empty table gives no rows;
 further columns are ignored. Blocks, not vectors, are replicated, and a group in which blocks of queries
 meet a block of candidates holds at most ``_TOGETHER`` of them.
 """
@@ -20,6 +25,7 @@ meet a block of candidates holds at most ``_TOGETHER`` of them.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,6 +40,8 @@ CURVES, DIMENSIONS, BITS = 4, 8, 7
 #: Rows in a block, and blocks of queries that meet a block of candidates in one group.
 _BLOCK, _TOGETHER = 4096, 64
 _SAMPLE, _PROBES = 4_000, 200
+#: Queries of a block multiplied at once with all candidates of another.
+_STRIP = 256
 
 
 def usable(vector: Column) -> Column:
@@ -173,12 +181,11 @@ def _blocks(batches):
         yield made()
 
 
-def _best(query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: int | None, k: int) -> tuple[list[int], list[float]]:
-    """The ``k`` best rows: a matrix product finds the candidates, which are scored again one by one.
+def _best(rough: np.ndarray, query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: int | None, k: int) -> tuple[list[int], list[float]]:
+    """The ``k`` best rows: ``rough``, a row of a matrix product, finds the candidates, which are scored again one by one.
 
     The second scoring adds up each row in the same order wherever it stands, so equal vectors tie exactly.
     """
-    rough = vectors @ query
     if own is not None:
         rough[own] = -np.inf
     if not len(rough):
@@ -201,33 +208,47 @@ def _searched(k: int):
             vectors = np.asarray(one.vectors).reshape(len(ids), -1)
             for q in queries.itertuples():
                 asked = np.asarray(q.vectors).reshape(len(q.ids), -1)
-                for x, (query, at, vector) in enumerate(zip(q.ids, q.places, asked, strict=True)):
-                    found, score = _best(vector, ids, vectors, int(at) if q.place == one.place else None, k)
-                    rows.append((q.place, x, query, found, score))
+                for first in range(0, len(asked), _STRIP):
+                    rough = asked[first : first + _STRIP] @ vectors.T
+                    for x, line in enumerate(rough, first):
+                        found, score = _best(line, asked[x], ids, vectors, int(q.places[x]) if q.place == one.place else None, k)
+                        rows.append((q.place, x, q.ids[x], found, score))
         return pd.DataFrame(rows, columns=["place", "nth", "query_id", "ids", "scores"])
 
     return run
 
 
 def _probe_truth(probes: list[tuple[int, np.ndarray]], k: int):
-    """Rows id, query, vector -> for each probe the best of a batch: the probes are a fixed number."""
+    """Rows id, query, vector -> for each probe the best of a partition: ``k`` rows for each of a fixed number of probes."""
     asked = np.array([v for _, v in probes])
 
     def run(batches):
+        best: list[list[tuple[float, int]]] = [[] for _ in probes]
         for batch in batches:
             ids, x = batch.column(0).to_numpy(), _matrix(batch.column(2))
             if not len(x):
                 continue
-            found = [_best(v, ids, x, int(at[0]) if len(at := np.flatnonzero(ids == i)) else None, k) for (i, _), v in zip(probes, asked, strict=True)]
-            n = [len(f) for f, _ in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat([i for i, _ in probes], n), pa.int64()), pa.array([i for f, _ in found for i in f], pa.int64()), pa.array([s for _, s in found for s in s], pa.float64())],
-                names=["probe", "id", "score"],
-            )
+            for n, line in enumerate(asked @ x.T):
+                own = np.flatnonzero(ids == probes[n][0])
+                found, score = _best(line, asked[n], ids, x, int(own[0]) if len(own) else None, k)
+                best[n] = sorted([*best[n], *zip([-s for s in score], found, strict=True)])[:k]
+        flat = [(probes[n][0], i, -away) for n, list_ in enumerate(best) for away, i in list_]
+        yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in flat], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["probe", "id", "score"])
 
     return run
 
 
+def _enough(sizes: np.ndarray, k: int) -> int:
+    """The least reach with which the blocks around every place hold ``k`` rows and the query, or all there are."""
+    wanted = min(k + 1, int(sizes.sum()))
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(len(sizes))
+    reach = 0
+    while (before[np.minimum(at + reach + 1, len(sizes))] - before[np.maximum(at - reach, 0)]).min() < wanted:
+        reach += 1
+    return reach
+
+
 def _reach(rows: DataFrame, places: DataFrame, total: list[int], k: int, recall: float) -> tuple[int, int]:
     """Curves and reach of the cheapest search that finds ``recall`` of the probes' true neighbours."""
     whole = max(total)
@@ -236,8 +257,12 @@ def _reach(rows: DataFrame, places: DataFrame, total: list[int], k: int, recall:
     probes = [(r.id, np.array(r.vector)) for r in asked.filter(below(F.lit(min(1.0, _PROBES / max(n, 1))), "id")).select("id", "vector").collect()]
     if not probes or whole == 1:
         return 1, whole
-    truth = rows.mapInArrow(_probe_truth(probes, k), "probe bigint, id bigint, score double").toPandas()
-    truth = truth.sort_values(["probe", "score", "id"], ascending=[True, False, True]).groupby("probe").head(k)
+    near = rows.mapInArrow(_probe_truth(probes, k), "probe bigint, id bigint, score double")
+    # One short list per probe and partition meets in a group; k rows per probe come to the driver.
+    lists = near.groupBy("probe").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("away"), "id"))), 1, k).alias("best"))
+    truth = lists.select("probe", F.explode("best").alias("b")).select("probe", "b.id").toPandas()
+    if truth.empty:
+        return 1, whole
     wanted = sorted({*truth.probe, *truth.id})
     seen = places.filter(F.col("id").isin(wanted)).collect()
     place = {(r.curve, r.id): r.place for r in seen}
@@ -253,27 +278,37 @@ def _reach(rows: DataFrame, places: DataFrame, total: list[int], k: int, recall:
 
 def nearest(table: DataFrame, is_query: Column, id_: str = "vec_id", vector: str = "embedding", k: int = 20, recall: float = 0.97) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for every query row its ``k`` nearest other rows found, best first."""
-    schema = "query_id bigint, rank int, vec_id bigint, score double"
     rows = table.filter(usable(F.col(vector))).select(F.col(id_).cast("bigint").alias("id"), F.coalesce(is_query, F.lit(False)).alias("query"), F.col(vector).cast("array<double>").alias("vector"))
+    sizes = sorted(r["size"] for r in rows.select(F.size("vector").alias("size")).distinct().collect())
+    found = [_found(rows.filter(F.size("vector") == size), k, recall) for size in sizes]
+    if not found:
+        return table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return _merged(reduce(DataFrame.union, found), k)
+
+
+def _found(rows: DataFrame, k: int, recall: float) -> DataFrame:
+    """Rows id, query, vector, all of one length -> for every query row a list of the best of each block it meets."""
+    spark = rows.sparkSession
     curves = fit(rows.select("id", "vector"))
-    if curves is None:
-        return table.sparkSession.createDataFrame([], schema)
-    rows = rows.filter(F.size("vector") == curves.size)
     placed = rows.mapInArrow(_placed(curves), "curve int, key bigint, id bigint, query boolean, vector array<double>")
     # A key that very many rows share is spread over ranges by the hash of the id.
     order = [F.col("curve"), F.col("key"), F.xxhash64("id")]
     blocks = cut_lineage(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, _BLOCK_ROW))
 
     # Blocks in order along each curve: one count for each curve and partition comes to the driver.
-    counts = sorted(map(tuple, blocks.groupBy("curve", "part").count().collect()))
-    total, start = [0] * CURVES, {}
-    for c, part, n in counts:
+    # All blocks of a partition but its last are full.
+    counts = sorted(map(tuple, blocks.groupBy("curve", "part").agg(F.count(F.lit(1)), F.sum(F.size("ids"))).collect()))
+    total, start, sizes = [0] * CURVES, {}, []
+    for c, part, n, held in counts:
         start[c, part] = total[c]
         total[c] += n
-    starts = table.sparkSession.createDataFrame([(c, p, n) for (c, p), n in start.items()], "curve int, part int, start int")
+        if c == 0:
+            sizes += [_BLOCK] * (n - 1) + [held - (n - 1) * _BLOCK]
+    starts = spark.createDataFrame([(c, p, n) for (c, p), n in start.items()], "curve int, part int, start int")
     blocks = blocks.join(F.broadcast(starts), ["curve", "part"]).withColumn("place", F.col("start") + F.col("seq")).drop("part", "seq", "start")
     places = blocks.select("curve", "place", F.explode("ids").alias("id"))
     used, reach = _reach(rows, places, total, k, recall)
+    reach = max(reach, _enough(np.array(sizes), k))
 
     blocks = blocks.filter(F.col("curve") < used)
     size = F.lit(curves.size)
@@ -288,12 +323,11 @@ def nearest(table: DataFrame, is_query: Column, id_: str = "vec_id", vector: str
     first, last = F.greatest(F.col("place") - reach, F.lit(0)), F.least(F.col("place") + reach, ends)
     together = F.explode(F.sequence(F.floor(first / _TOGETHER), F.floor(last / _TOGETHER)))
     offered = blocks.select(*[F.col(c).alias(c) for c in ("curve", "place", "ids", "vectors")], together.alias("together"))
-    found = (
+    return (
         asking.groupBy("curve", "target", "together")
         .cogroup(offered.groupBy("curve", "place", "together"))
         .applyInPandas(_searched(k), "place int, nth int, query_id bigint, ids array<bigint>, scores array<double>")
     )
-    return _merged(found, k)
 
 
 def _merged(found: DataFrame, k: int) -> DataFrame:
