@@ -108,6 +108,32 @@ def test_short_series_have_no_seasonal_forecast():
     assert models.fit_forecast(np.arange(30.0), 2, True) == pytest.approx([30.0, 31.0], abs=0.2)
 
 
+def test_short_series_fall_back_and_say_so(spark):
+    start = date(2025, 1, 1)
+    rows = [(k, start + timedelta(days=i), v, i < trained) for k, values, trained in [
+        ("whole", [10.0 + i % 7 for i in range(40)], 35), ("short", [float(i) for i in range(13)], 10), ("late", [None, None, 4.0, 4.0, 4.0, 4.0], 5),
+        ("one", [3.0, 9.0], 1), ("nothing", [None, 5.0], 1),
+    ] for i, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, "k string, day date, v double, is_train boolean")
+    out = {(r["k"], r["day"]): r for r in models.smoothing_forecasts(frame, ["k"], "day", "v", "is_train").collect()}
+    kinds = {k: r["tes_kind"] for (k, _), r in out.items()}
+    assert kinds == {"whole": "seasonal", "short": "trend", "late": "trend", "one": "level", "nothing": "none"}
+    assert len(out) == 5 + 3 + 1 + 1 + 1
+    assert out["short", start + timedelta(days=12)]["tes"] == pytest.approx(12, abs=0.3)
+    assert out["late", start + timedelta(days=5)]["tes"] == pytest.approx(4.0)
+    assert out["one", start + timedelta(days=1)]["tes"] == 3.0
+    lost = out["nothing", start + timedelta(days=1)]
+    assert lost["tes"] is None or np.isnan(lost["tes"])
+
+
+def test_contamination_from_a_label(spark):
+    df = spark.range(400).select("id", F.rand(3).alias("a"), F.rand(4).alias("b"), (F.col("id") % 5 > 0).alias("is_train"), (F.col("id") % 8 == 1).cast("int").alias("proxy"))
+    out = models.isolation_forest(df, "id", ["a", "b"], "is_train", "proxy", trees=20)
+    rate = df.filter("is_train").agg(F.avg("proxy")).first()[0]
+    marked, n = out.filter("is_train").agg(F.sum("anomaly"), F.count(F.lit(1))).first()
+    assert abs(marked - rate * n) <= 1
+
+
 def test_gaps_are_filled_from_the_past_only(spark):
     y = _seasonal(80, 0.5)
     holed = y.copy()

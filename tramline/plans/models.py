@@ -178,9 +178,14 @@ def anomaly_scores(df: DataFrame, forest: DataFrame, features: Names, sample: in
 
 
 def isolation_forest(
-    df: DataFrame, id_column: str, features: Names, is_train: str, contamination: float, trees: int = 100, seed: int = 42
+    df: DataFrame, id_column: str, features: Names, is_train: str, contamination: float | str, trees: int = 100, seed: int = 42
 ) -> DataFrame:
-    """Rows with ``score`` and ``anomaly`` (1 where the score is below the training quantile)."""
+    """Rows with ``score`` and ``anomaly`` (1 where the score is below the training quantile).
+
+    ``contamination`` is that quantile, or the column of a 0/1 label whose rate among the training rows gives it.
+    """
+    if isinstance(contamination, str):
+        contamination = float(df.filter(F.col(is_train)).agg(F.coalesce(F.avg(F.col(contamination).cast("int")), F.lit(0.0))).first()[0])
     forest = grow_forest(df.filter(F.col(is_train)), id_column, features, trees, seed=seed)
     scored = anomaly_scores(df, forest, features)
     cut = exact_quantiles(scored.filter(F.col(is_train)), [], "score", {"c": contamination}).select("c").scalar()
@@ -250,7 +255,7 @@ def _smooth(y: np.ndarray, params: np.ndarray, trend: bool, m: int, horizon: int
     level = np.full((len(params), 1), first)
     slope = np.zeros_like(level)
     if trend:
-        slope[:] = (np.nanmean(y[m : 2 * m]) - first) / m if m else y[1] - y[0]
+        slope[:] = np.nan_to_num((np.nanmean(y[m : 2 * m]) - first) / m if m else y[1] - y[0])
     seasons = np.tile(np.nan_to_num(y[:m] - first), (len(params), 1)) if m else np.zeros((len(params), 1))
     error = np.zeros(len(params))
     period = max(m, 1)
@@ -292,24 +297,50 @@ def smoothing_forecasts(
     """Simple, double and triple smoothing of every series over its test rows, floored at 0.
 
     Each series has one row per day, so a group is as long as the calendar at most.
-    Output: keys, day, value, ses, des, tes.
+    Output: keys, day, value, ses, des, tes and ``tes_kind``: 'seasonal', 'trend' where the training
+    rows are fewer than two seasons (then ``tes`` is double smoothing), 'level' where there is a single
+    one (all three repeat it) and 'none' where there is none (no forecast).
     """
     rows = series.select(*keys, day, F.col(value).cast("double").alias(value), is_train)
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*keys, day])
-    schema = f"{kinds}, `{value}` double, ses double, des double, tes double"
-    models = {"ses": (False, 0), "des": (True, 0), "tes": (True, season)}
+    schema = f"{kinds}, `{value}` double, ses double, des double, tes double, tes_kind string"
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(day)
         mask = group[is_train].to_numpy(bool)
         train, test = group.loc[mask, value].to_numpy(float), group.loc[~mask].copy()
-        for name, (trend, m) in models.items():
-            test[name] = np.maximum(fit_forecast(train, len(test), trend, m), 0)
-        return test[[*keys, day, value, *models]]
+        train = train[np.flatnonzero(~np.isnan(train)).min(initial=len(train)) :]
+        if len(train) < 2:
+            found = [np.full(len(test), train[0] if len(train) else np.nan)] * 3
+            kind = "level" if len(train) else "none"
+        else:
+            kind = "seasonal" if len(train) >= 2 * season else "trend"
+            found = [fit_forecast(train, len(test), trend, m) for trend, m in ((False, 0), (True, 0), (True, season if kind == "seasonal" else 0))]
+        forecasts = dict(zip(("ses", "des", "tes"), (np.maximum(f, 0) for f in found), strict=True))
+        return test.assign(**forecasts, tes_kind=kind)[[*keys, day, value, "ses", "des", "tes", "tes_kind"]]
 
     return rows.groupBy(*keys).applyInPandas(run, schema)
 
 
+def smoothed_ahead(
+    series: DataFrame, keys: Names, day: str, value: str, horizon: int, alpha: float, beta: float = 0.0, gamma: float = 0.0, season: int = 0
+) -> DataFrame:
+    """Forecasts 1..``horizon`` steps after each series with given parameters (a trend where ``beta`` is positive).
+
+    Series shorter than two seasons (or two rows) give no rows. Output: keys, step, forecast.
+    """
+    rows = series.select(*keys, day, F.col(value).cast("double").alias(value))
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        y = group.sort_values(day)[value].to_numpy(float)
+        y = y[np.flatnonzero(~np.isnan(y)).min(initial=len(y)) :]
+        ahead = _smooth(y, np.array([[alpha, beta, gamma]]), beta > 0, season, horizon)[1][0] if len(y) >= max(2 * season, 2) else []
+        return pd.DataFrame({**{k: group[k].iloc[0] for k in keys}, "step": np.arange(1, len(ahead) + 1), "forecast": np.asarray(ahead, float)})
+
+    return rows.groupBy(*keys).applyInPandas(run, f"{kinds}, step int, forecast double")
+
+
 def impute_gaps(full: DataFrame, keys: Names, day: str, value: str, season: int = 7) -> DataFrame:
     """Fill each gap with a seasonal forecast fitted on everything before it.
 
