@@ -4,6 +4,7 @@ from tramline.catalog import (  # noqa: F401
     builders,
     cleaning,
     columns,
+    functions,
     grouping,
     incremental,
     joining,
