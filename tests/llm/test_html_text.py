@@ -4,6 +4,8 @@ import html
 import re
 
 from tests.harness import TESTDATA
+import pytest
+
 from tramline.llm import html_text, queries
 
 SCHEMA = "page_id bigint, url string, html string, text int"
@@ -77,3 +79,12 @@ def test_left_out_elements_hold_at_any_depth():
     for deep in (50, 500, 5_000):
         page = '<div class="sidebar">' + "<div>" * deep + "MENU" + "</div>" * deep + "</div><p>real</p>"
         assert html_text.blocks(page, {}) == ["real"]
+
+
+@pytest.mark.parametrize("share", [0.0, 2.0])
+def test_hot_hosts_give_the_same_text(spark, monkeypatch, share):
+    monkeypatch.setattr(html_text, "HOT", share)
+    page = "<html><body><div><span>Menu here</span><b>Login</b></div><article><h1>T{0}</h1><p>Words {0}</p></article></body></html>"
+    rows = [(k % 60, f"http://h{k % 3}/{k}", page.format(k), 1) for k in range(120)] * 2
+    found = [(r.page_id, r.url, r.text) for r in html_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(found) == sorted(2 * [(i, u, f"T{k}\n\nWords {k}") for k, (i, u, _, _) in enumerate(rows[:120])])

@@ -32,6 +32,7 @@ from hashlib import blake2b
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tramline.llm.batches import small
 from tramline.session import cut_lineage
@@ -40,6 +41,8 @@ from tramline.session import cut_lineage
 TOKENS, SHARE, PAGES = 3, 0.1, 4
 #: Copied pages (host and hash) that are broadcast.
 _FEW = 100_000
+#: Hosts with more than this share of all pages (so fewer than 1,000: their list may be broadcast) are dealt over so many parts.
+HOT, _PARTS = 0.001, 64
 #: Paths longer than this are carried as their hash.
 _PATH = 2_000
 
@@ -292,5 +295,14 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
             out.append("\n\n".join(blocks(h.as_py() or "", known[key])))
         return pa.array(out, pa.string())
 
-    joined = rest.join(found, F.col("page__host") == F.col("page__of"), "left")
+    # Pages of a hot host are dealt over parts, and its template is repeated for each part.
+    per_host = rest.groupBy("page__host").agg(F.count(F.lit(1)).alias("n"))
+    hot = per_host.filter(F.col("n") > HOT * per_host.agg(F.sum("n")).scalar()).select(F.col("page__host").alias("page__hot"))
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in rest.schema if isinstance(f.dataType, AtomicType)])
+    dealt = rest.join(F.broadcast(hot), F.col("page__host") == F.col("page__hot"), "left").withColumn(
+        "page__part", F.when(F.col("page__hot").isNotNull(), F.pmod(whole, F.lit(_PARTS)).cast("int")).otherwise(0)
+    )
+    parts = F.when(F.col("page__hot").isNotNull(), F.sequence(F.lit(0), F.lit(_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    given = found.join(F.broadcast(hot), F.col("page__of") == F.col("page__hot"), "left").select("page__of", "template", F.explode(parts).alias("page__at"))
+    joined = dealt.join(given, (F.col("page__host") == F.col("page__of")) & (F.col("page__part") == F.col("page__at")), "left")
     return joined.select(*[c for c in rest.columns if c != "page__host"], text(F.col(page), F.col("template")).alias("text"))
