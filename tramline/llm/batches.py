@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import ctypes.util
+import gc
 from collections.abc import Callable
 from functools import lru_cache, wraps
 
@@ -32,16 +33,28 @@ _held: dict[tuple, object] = {}
 
 
 def held(key: tuple, build: Callable[[], object]):
-    """``build()``, kept for the batches to come. A worker keeps one model at a time, whichever operator it serves."""
+    """``build()``, kept for the batches to come. A worker keeps one model at a time, whichever operator it serves.
+
+    A model is many containers that live on; frozen, they are not walked through by each garbage collection.
+    """
     if key not in _held:
-        _held.clear()
+        _let_go()
         _held[key] = build()
+        gc.collect()
+        gc.freeze()
     return _held[key]
 
 
+def _let_go() -> None:
+    if _held:
+        _held.clear()
+        gc.unfreeze()
+        gc.collect()
+
+
 def _begin(keep: bool) -> None:
     if not keep:
-        _held.clear()
+        _let_go()
 
 
 def _end() -> None:

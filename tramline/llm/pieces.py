@@ -12,8 +12,9 @@ only if merging would have left these two side by side (``_Bpe.joins``). One pat
 the one that merging yields. Pieces of one lowest score that are made of each other (runs of word marks)
 are composed afterwards, from left to right.
 
-No arc of the lattice crosses from an ordinary character to a word mark if no piece holds that
-sequence, so the shortest path is found word by word, and words met before are looked up.
+No arc of the lattice passes between two characters that follow each other in no piece, as mostly an
+ordinary character and a word mark. The text is cut there, the shortest path is found part by part, and parts met
+before are looked up.
 
 Decoding runs the transducers backwards: pieces to text, byte runs to characters (each byte outside
 valid UTF-8 to U+FFFD), word marks to spaces, without the leading space that encoding added.
@@ -29,6 +30,7 @@ import math
 import re
 import struct
 from array import array
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ MARK = "▁"
 _REMEMBERED, _LONGEST = 240_000, 48
 #: Characters that mostly decide which arcs start at a place.
 _WINDOW = 6
+#: Characters cut into parts at a time.
+_STRIP = 1 << 16
 # Types of pieces and model types in a SentencePiece model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
@@ -189,23 +193,65 @@ class _Bpe:
 
 
 class _Memory(dict):
-    """What was looked up lately: entries not met again while the next half fills are dropped."""
+    """What was looked up lately, made where it is new: entries not met again while the next half fills are dropped."""
 
-    def __init__(self) -> None:
+    def __init__(self, make: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.older: dict = {}
+        self.older: dict[str, bytes] = {}
+        self.make = make
 
-    def __missing__(self, key):
+    def __missing__(self, key: str) -> bytes:
         found = self.older.get(key)
-        if found is not None:
-            self[key] = found
+        if found is None:
+            found = self.make(key)
+            if len(key) > _LONGEST:
+                return found
+            if 2 * len(self) >= _REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+        self[key] = found
         return found
 
-    def keep(self, key, value) -> None:
-        if 2 * len(self) >= _REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
+
+class _Cuts:
+    """Where a text comes apart: two characters that follow each other in no piece part the lattice, every path passes between them.
+
+    ``bits`` holds one bit for every pair of a first and a second character of some piece, row by row.
+    """
+
+    def __init__(self, inner: set[tuple[str, str]]):
+        firsts, seconds = ({c: k for k, c in enumerate(sorted({pair[i] for pair in inner}), 1)} for i in (0, 1))
+        self.row, self.column = np.zeros(0x110000, np.int32), np.zeros(0x110000, np.int32)
+        table = np.zeros((len(firsts) + 1, (len(seconds) // 8 + 1) * 8), bool)
+        for c, k in firsts.items():
+            self.row[ord(c)] = k
+        for c, k in seconds.items():
+            self.column[ord(c)] = k
+        for x, y in inner:
+            table[firsts[x], seconds[y]] = True
+        self.wide = table.shape[1] // 8
+        self.bits = np.packbits(table, axis=1, bitorder="little").ravel()
+
+    def parts(self, text: str) -> Iterator[list[str]]:
+        """The text's parts in order, a strip of it at a time."""
+        at, size = 0, _STRIP
+        while at < len(text):
+            strip = text[at : at + size]
+            codes = np.frombuffer(strip.encode("utf-32-le", "surrogatepass"), np.uint32)
+            column = self.column[codes[1:]]
+            byte = self.bits[self.row[codes[:-1]].astype(np.int64) * self.wide + (column >> 3)]
+            cuts = np.flatnonzero((byte >> (column & 7).astype(np.uint8) & 1) == 0) + 1
+            if at + len(strip) < len(text):
+                if not len(cuts):  # one part, longer than the strip
+                    size *= 2
+                    continue
+                strip, cuts = strip[: cuts[-1]], cuts[:-1]
+            at, size = at + len(strip), _STRIP
+            if "\0" in strip:
+                ends = cuts.tolist()
+                yield [strip[i:j] for i, j in zip([0, *ends], [*ends, len(strip)])]
+            else:
+                yield np.insert(codes[: len(strip)], cuts, 0).tobytes().decode("utf-32-le", "surrogatepass").split("\0")
 
 
 class Transducer:
@@ -219,6 +265,7 @@ class Transducer:
         byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == _BYTE}
         self.byte_ids = [byte_ids[b] for b in range(256)] if self.model.byte_fallback else []
         self.byte_of = {i: b for b, i in byte_ids.items()}
+        self.is_byte = np.array([kind == _BYTE for _, _, kind in pieces])
         self.user = re.compile("|".join(sorted((re.escape(p) for p, _, k in pieces if k == _USER), key=len, reverse=True)) or "(?!)")
         self.id_of = {p: i for i, (p, _, kind) in enumerate(pieces) if kind in (_NORMAL, _USER, _UNUSED)}
         self.code_of = {p: array("i", [i]).tobytes() for p, i in self.id_of.items()}
@@ -234,11 +281,9 @@ class Transducer:
                 node = node.setdefault(c, {})
             node[""] = p
         self.arcs_at: dict[str, tuple[str, ...]] = {}
-        self.crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in spelled)
-        self.word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.text_of = [self._text(i) for i in range(len(pieces))]
-        self._known = _Memory()
-        self.inner = {pair for p in spelled for pair in zip(p, p[1:])}
+        self._cuts = _Cuts({pair for p in spelled for pair in zip(p, p[1:])})
+        self._known = _Memory(self._path)
 
     def _text(self, i: int) -> str:
         piece, _, kind = self.model.pieces[i]
@@ -247,27 +292,7 @@ class Transducer:
         return self.model.unk_surface if kind == _UNKNOWN else piece.replace(MARK, " ") if self.model.escape else piece
 
     def _path(self, word: str) -> bytes:
-        """Ids along the shortest path through the word's lattice, as 32-bit integers; without byte fallback, unknown characters as -1 - code point.
-
-        Two characters that follow each other in no piece part the lattice: every path passes between them.
-        """
-        inner = self.inner
-        if inner.issuperset(zip(word, word[1:])):
-            return self._part(word)
-        out: list[bytes] = []
-        known, at = self._known, 0
-        for cut in (*(k for k, pair in enumerate(zip(word, word[1:]), 1) if pair not in inner), len(word)):
-            part = word[at:cut]
-            ids = known[part]
-            if ids is None:
-                ids = self._part(part)
-                if len(part) <= _LONGEST:
-                    known.keep(part, ids)
-            out.append(ids)
-            at = cut
-        return b"".join(out)
-
-    def _part(self, word: str) -> bytes:
+        """Ids along the shortest path through a part's lattice, as 32-bit integers; without byte fallback, unknown characters as -1 - code point."""
         path = self._only_path(word) if self.bpe else self._best_path(word)
         try:
             return b"".join(map(self.code_of.__getitem__, path))
@@ -366,43 +391,34 @@ class Transducer:
         """Each run of unknown characters as one unknown id."""
         return [i if i >= 0 else self.unk for k, i in enumerate(path) if i >= 0 or k == 0 or path[k - 1] >= 0]
 
-    def _words(self, text: str, out: bytearray) -> None:
+    def _words(self, text: str) -> bytes:
         known = self._known
-        for word in self._split(text):
-            ids = known[word]
-            if ids is None:
-                ids = self._path(word)
-                if len(word) <= _LONGEST:
-                    known.keep(word, ids)
-            out += ids
-
-    def _split(self, text: str) -> list[str]:
-        """The text's words, each with the marks before it."""
-        if self.crossing:
-            return [text] if text else []
-        if text.startswith(MARK) and MARK * 2 not in text:
-            return (MARK + text[1:].replace(MARK, "\0" + MARK)).split("\0") if "\0" not in text else self.word.findall(text)
-        return self.word.findall(text)
+        return b"".join([b"".join(map(known.__getitem__, parts)) for parts in self._cuts.parts(text)])
 
     def coded(self, text: str) -> array:
         """The text's ids."""
-        out = bytearray()
+        out: list[bytes] = []
         text, at = self.normalise(text), 0
         for m in self.user.finditer(text):  # user-defined symbols are taken as they are
-            self._words(text[at : m.start()], out)
-            out += array("i", [self.id_of[m[0]]]).tobytes()
+            out.append(self._words(text[at : m.start()]))
+            out.append(array("i", [self.id_of[m[0]]]).tobytes())
             at = m.end()
-        self._words(text[at:] if at else text, out)
+        out.append(self._words(text[at:] if at else text))
         ids = array("i")
-        ids.frombytes(out)
+        for part in out:
+            ids.frombytes(part)
         return ids if self.byte_ids else array("i", self._unknown(ids))
 
     def encode(self, text: str) -> list[int]:
         return self.coded(text).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def _has_bytes(self, ids: Sequence[int]) -> bool:
+        found = np.asarray(ids, np.int64)
+        return bool(self.is_byte[found].any())
+
+    def decode(self, ids: Sequence[int]) -> str:
         text_of, byte_of = self.text_of, self.byte_of
-        if byte_of and not byte_of.keys().isdisjoint(ids):
+        if byte_of and self._has_bytes(ids):
             out: list[str] = []
             held = bytearray()
             for i in ids:
