@@ -107,3 +107,16 @@ def test_one_pass_equals_two(spark):
     key = lambda r: (r["text"] or "", r["text"] is None)
     assert sorted(one.select(*two.columns).collect(), key=key) == sorted(two.collect(), key=key)
     assert pieces.read_back(docs.limit(0), MODEL).collect() == []
+    told = {(r["text"], tuple(r["ids"] or ()), r["round_trip"]) for r in pieces.round_trips(docs, MODEL).collect()}
+    assert told == {(r["text"], tuple(r["ids"] or ()), r["decoded"] == r["text"]) for r in one.collect()}
+    assert pieces.round_trips(docs.limit(0), MODEL).collect() == []
+
+
+def test_parts_do_not_depend_on_the_strip(monkeypatch):
+    t = pieces.Transducer(MODEL)
+    for text in ("", "\0", "a\0b c", "x" * 9_000, "ab " * 3_000 + "é" * 7_000 + " z", *odd_texts(5, 90)):
+        whole = [p for strip in t._cuts.parts(text) for p in strip]
+        assert "".join(whole) == text
+        monkeypatch.setattr(pieces, "_STRIP", 3)
+        assert [p for strip in t._cuts.parts(text) for p in strip] == whole
+        monkeypatch.undo()

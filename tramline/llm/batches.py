@@ -14,12 +14,12 @@ from pyspark.sql import SparkSession
 _KEY, _MOST = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 
 
-def small(spark: SparkSession) -> None:
-    """Lower the session's Arrow batches to 16 MB: a worker holds a few times that while it works on texts."""
+def small(spark: SparkSession, most: int = _MOST) -> None:
+    """Lower the session's Arrow batches to 16 MB or ``most``: a worker holds a few times that while it works on texts."""
     now = spark.conf.get(_KEY, None) or ""
     digits = now.rstrip("bB")
-    if not digits.isdigit() or int(digits) > _MOST:
-        spark.conf.set(_KEY, f"{_MOST}b")
+    if not digits.isdigit() or int(digits) > most:
+        spark.conf.set(_KEY, f"{most}b")
 
 
 @lru_cache(maxsize=1)

@@ -44,6 +44,8 @@ MARK = "▁"
 _REMEMBERED, _LONGEST = 240_000, 48
 #: Characters that mostly decide which arcs start at a place.
 _WINDOW = 6
+#: Bytes of text a worker is handed at a time; ids are several times as long.
+_BATCH = 4 << 20
 #: Characters cut into parts at a time.
 _STRIP = 1 << 16
 # Types of pieces and model types in a SentencePiece model file.
@@ -458,7 +460,7 @@ def transducer(path: str) -> Transducer:
 
 def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -> DataFrame:
     """All columns and ``into``: the ids of ``text``. ``model`` is a path every worker can open."""
-    small(docs.sparkSession)
+    small(docs.sparkSession, _BATCH)
 
     @F.arrow_udf("array<int>")
     @tidy(keep=True)
@@ -475,9 +477,18 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -
 
 def read_back(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``encode`` and ``decode`` in one pass of one worker: all columns, ``ids`` and ``decoded``."""
-    small(docs.sparkSession)
+    return _both(docs, model, text, ids, decoded, "string", lambda read, _: read)
 
-    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+
+def round_trips(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", same: str = "round_trip") -> DataFrame:
+    """As ``read_back``, but instead of the decoded text whether it is the text itself (true of a null): it does not travel back."""
+    return _both(docs, model, text, ids, same, "boolean", lambda read, before: read == before)
+
+
+def _both(docs: DataFrame, model: str, text: str, ids: str, out: str, kind: str, result: Callable[[str | None, str | None], object]) -> DataFrame:
+    small(docs.sparkSession, _BATCH)
+
+    @F.arrow_udf(f"struct<ids:array<int>,out:{kind}>")
     @tidy(keep=True)
     def both(texts: pa.Array) -> pa.Array:
         t = transducer(model)
@@ -485,17 +496,18 @@ def read_back(docs: DataFrame, model: str, text: str = "text", ids: str = "ids",
         for part in (texts[k : k + 500] for k in range(0, len(texts), 500)):
             made = []
             for x in part:
-                own = t.coded(x.as_py() or "")
+                before = x.as_py()
+                own = t.coded(before or "")
                 values.extend(own)
                 ends.append(len(values))
-                made.append(t.decode(own) if x.is_valid else None)
-            read.append(pa.array(made, pa.string()))
+                made.append(result(None if before is None else t.decode(own), before))
+            read.append(pa.array(made, pa.string() if kind == "string" else pa.bool_()))
         listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(values, np.int32)), mask=texts.is_null())
-        return pa.StructArray.from_arrays([listed, pa.concat_arrays(read) if read else pa.array([], pa.string())], names=["ids", "decoded"])
+        return pa.StructArray.from_arrays([listed, pa.chunked_array(read, pa.string() if kind == "string" else pa.bool_()).combine_chunks()], names=["ids", "out"])
 
     # Declared non-deterministic so that the optimizer does not run it once per use of its fields.
     done = docs.withColumn("__both", both.asNondeterministic()(F.col(text)))
-    return done.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
+    return done.withColumns({ids: F.col("__both.ids"), out: F.col("__both.out")}).drop("__both")
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", into: str = "decoded") -> DataFrame:

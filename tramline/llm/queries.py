@@ -19,10 +19,8 @@ TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 def op1_sentencepiece(spark: SparkSession, folder: str, model: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
     """Every document's ids, and whether decoding them gives its text back."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    read = pieces.read_back(docs, model)
-    return read.select(
-        "doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
-    )
+    read = pieces.round_trips(docs, model)
+    return read.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"), "round_trip")
 
 
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
