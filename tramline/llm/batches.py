@@ -33,28 +33,16 @@ _held: dict[tuple, object] = {}
 
 
 def held(key: tuple, build: Callable[[], object]):
-    """``build()``, kept for the batches to come. A worker keeps one model at a time, whichever operator it serves.
-
-    A model is many containers that live on; frozen, they are not walked through by each garbage collection.
-    """
+    """``build()``, kept for the batches to come. A worker keeps one model at a time, whichever operator it serves."""
     if key not in _held:
-        _let_go()
+        _held.clear()
         _held[key] = build()
-        gc.collect()
-        gc.freeze()
     return _held[key]
 
 
-def _let_go() -> None:
-    if _held:
-        _held.clear()
-        gc.unfreeze()
-        gc.collect()
-
-
 def _begin(keep: bool) -> None:
     if not keep:
-        _let_go()
+        _held.clear()
 
 
 def _end() -> None:
@@ -65,16 +53,22 @@ def _end() -> None:
 
 def tidy(keep: bool = False) -> Callable[[Callable], Callable]:
     """Of a function of a batch: before it, the model of another operator goes (unless ``keep``: the function uses ``held``); after
-    it, freed memory goes back to the machine, as workers wait idle between stages.
+    it, freed memory goes back to the machine, as workers wait idle between stages. With ``keep`` garbage collection
+    waits until the batch is done, as it would walk through the whole model again and again.
     """
 
     def around(work: Callable) -> Callable:
         @wraps(work)
         def run(*columns):
             _begin(keep)
+            pause = keep and gc.isenabled()
+            if pause:
+                gc.disable()
             try:
                 return work(*columns)
             finally:
+                if pause:
+                    gc.enable()
                 _end()
 
         return run
