@@ -127,3 +127,19 @@ def test_calendar_fill(spark, rows):
 def test_chronological_split_floors(spark):
     df = spark.createDataFrame([(1, i) for i in range(7)], "k int, i int")
     assert windows.chronological_split(df, ["k"], ["i"]).filter("is_train").count() == 5
+
+
+@pytest.mark.parametrize("value", ["5 + id * 1e-6", "pow(id, 6)", "-id", "if(id % 3 = 0, id, id * 1e-9)"])
+def test_ranges_are_even_and_in_order(spark, value):
+    df = spark.range(100_000).selectExpr(f"CAST({value} AS DOUBLE) AS v", "id % 2 AS k").dropDuplicates(["k", "v"])
+    sized = windows.ranged(df, ["k"], "v", "r").groupBy("r").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    rows = sorted(sized.collect())
+    assert max(r["n"] for r in rows) < 2 * 100_000 / 256
+    assert all(a["hi"] < b["lo"] for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_ranges_of_few_and_no_rows(spark):
+    few = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),)], "v double")
+    got = {str(r["v"]): r["r"] for r in windows.ranged(few, [], "v", "r").collect()}
+    assert got["1.0"] < got["2.0"] <= got["nan"]
+    assert windows.ranged(few.limit(0), [], "v", "r").collect() == []

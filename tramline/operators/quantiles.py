@@ -1,8 +1,8 @@
 """Exact quantiles and summaries without gathering a group in one task.
 
 ``percentile`` keeps a map of all distinct values of a group in one buffer. Here equal
-values are counted first, the wanted ranks are located in value buckets, and only those
-buckets are sorted.
+values are counted first, the wanted ranks are located in ranges of values whose split points
+are drawn from the data, and only those ranges are sorted.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.operators.windows import value_bucket
+from tramline.operators.windows import ranged
 
 
 def exact_quantiles(
@@ -24,8 +24,8 @@ def exact_quantiles(
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__b", value_bucket(F.col("__v")))
     )
+    counted = ranged(counted, by, "__v", "__b")
     in_order = Window.partitionBy(*by).orderBy("__b")
     buckets = (
         counted.groupBy(*by, "__b")

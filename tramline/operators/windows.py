@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1e-4
+# Ranges of values, the points looked at together, and the rows drawn for the points.
+_RANGES, _STRIP, _DRAWN = 256, 16, 16_384
 
 _CARRY = "__carry"
 _BUCKET = "__bucket"
@@ -192,24 +194,41 @@ def date_lag(series: DataFrame, keys: Names, day: str, value: str, days: int, ou
     return series.join(earlier, [*keys, day], "left")
 
 
-def value_bucket(value: Column, per_octave: int = 64) -> Column:
-    """Order-preserving bucket of a number; neighbouring buckets differ by about 1 percent.
+def ranged(df: DataFrame, by: Names, value: str, out: str) -> DataFrame:
+    """Add the order-preserving range of a number, with split points drawn from the data.
 
-    Needs no look at the data, so it can serve as ``split`` when ordering by a value.
+    About ``_DRAWN`` rows, drawn by a hash of ``by`` and the value, give the points, so each range holds a like share
+    of the rows however narrow or skewed the values are, and so does each key's part of a range at most. ``df``
+    should hold equal values of a key once. The draw depends on the data alone: a lost task, or a second use of the
+    plan, gets the same points. They only balance the work; no result depends on them.
     """
-    size = F.floor(F.log2(F.abs(value.cast("double")) + 1) * per_octave).cast("int")
-    return F.when(value < 0, -size).otherwise(size)
+    v = F.col(value).cast("double")
+    rows = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    lot = F.pmod(F.xxhash64(*by, v), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = df.filter(lot < F.lit(float(_DRAWN)) / rows).agg(F.sort_array(F.collect_list(v)).alias("__s"))
+    spots = F.transform(
+        F.sequence(F.lit(1), F.lit(_RANGES - 1)),
+        lambda k: F.element_at("__s", F.ceil(k * F.size("__s") / F.lit(_RANGES)).cast("int")),
+    )
+    points = drawn.select(F.when(F.size("__s") > 0, spots).otherwise(F.array().cast("array<double>"))).scalar()
+
+    def passed(places: Sequence[Column]) -> Column:
+        """How many of the points at these places the value has reached."""
+        return reduce(lambda x, y: x + y, (F.coalesce((F.try_element_at(points, at) <= v).cast("int"), F.lit(0)) for at in places))
+
+    found = df.withColumn("__strip", passed([F.lit(k) for k in range(_STRIP, _RANGES, _STRIP)]) * _STRIP)
+    return found.withColumn(out, F.col("__strip") + passed([F.col("__strip") + k for k in range(1, _STRIP)])).drop("__strip")
 
 
 def standing(df: DataFrame, value: str, rank: str = "rank", percent: str = "top_percent") -> DataFrame:
     """Competition rank (largest first, ties share the best rank) over the whole table.
 
     Equal values are counted first; the running count is taken over distinct values per
-    value bucket, so no task sees the whole table. ``percent`` is rank / rows * 100.
+    range of values (``ranged``), so no task sees the whole table. ``percent`` is rank / rows * 100.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-    keyed = counted.select(
-        "*", (-F.col(value)).alias("__down"), (-value_bucket(F.col(value))).alias("__step")
+    keyed = ranged(counted, [], value, "__range").select(
+        value, "__n", (-F.col(value)).alias("__down"), (-F.col("__range")).alias("__step")
     )
     ranked = weighted_positions(keyed, ["__down"], "__n", ["__step"])
     ranks = ranked.select(
