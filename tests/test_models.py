@@ -134,6 +134,17 @@ def test_contamination_from_a_label(spark):
     assert abs(marked - rate * n) <= 1
 
 
+def test_scores_of_nested_quantiles_stay_a_small_plan(spark):
+    """Fences of scaled rows under the forest: the plan stays small."""
+    df = spark.range(300).select("id", F.rand(3).alias("a"), F.rand(4).alias("b"), (F.col("id") % 5 > 0).alias("is_train"))
+    marked = stats.outside_fences(df, df.filter("is_train"), "a", "proxy")
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("scalar-subquery#") < 20
+    out = models.isolation_forest(marked, "id", ["a", "b"], "is_train", "proxy", trees=10)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "mapInPandas" not in plan and plan.count("scalar-subquery#") < 20
+    assert out.count() == 300
+
+
 def test_gaps_are_filled_from_the_past_only(spark):
     y = _seasonal(80, 0.5)
     holed = y.copy()

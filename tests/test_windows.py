@@ -143,3 +143,9 @@ def test_ranges_of_few_and_no_rows(spark):
     got = {str(r["v"]): r["r"] for r in windows.ranged(few, [], "v", "r").collect()}
     assert got["1.0"] < got["2.0"] <= got["nan"]
     assert windows.ranged(few.limit(0), [], "v", "r").collect() == []
+
+
+def test_points_of_ranges_are_in_the_plan_once(spark):
+    df = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS v")
+    plan = windows.ranged(df, [], "v", "r")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("scalar-subquery#") <= 3

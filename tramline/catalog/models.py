@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tramline.catalog.base import DAILY, Tables, query
 from tramline.operators import aggregates, reshape, windows
 from tramline.plans import models, reports, stats
+from tramline.session import cut_lineage
 
 
 def _features(t: Tables):
@@ -61,7 +62,8 @@ def month_classifier_report(t: Tables):
 def isolation_forest_labels(t: Tables):
     """Anomalies on scaled order days, compared with the fence label."""
     daily = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.sum("o_totalprice").alias("total"), F.count(F.lit(1)).cast("double").alias("n"))
-    split = windows.chronological_split(daily.withColumn("year", F.year("day")), [], ["day"], split=["year"])
+    # One row per day from here on; scaling and fences each read it several times.
+    split = cut_lineage(windows.chronological_split(daily.withColumn("year", F.year("day")), [], ["day"], split=["year"]))
     scaled = stats.standardise(split, ["total", "n"], "is_train")
     proxied = stats.outside_fences(scaled, scaled.filter("is_train"), "total", "proxy")
     scored = models.isolation_forest(proxied, "day", ["total", "n"], "is_train", "proxy")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tramline.operators.quantiles import exact_quantiles
+from tramline.session import cut_lineage
 
 Names = Sequence[str]
 
@@ -183,11 +184,13 @@ def isolation_forest(
     """Rows with ``score`` and ``anomaly`` (1 where the score is below the training quantile).
 
     ``contamination`` is that quantile, or the column of a 0/1 label whose rate among the training rows gives it.
+    The rows and their scores are read several times, so the lineage of both is cut.
     """
+    df = cut_lineage(df)
     if isinstance(contamination, str):
         contamination = float(df.filter(F.col(is_train)).agg(F.coalesce(F.avg(F.col(contamination).cast("int")), F.lit(0.0))).first()[0])
     forest = grow_forest(df.filter(F.col(is_train)), id_column, features, trees, seed=seed)
-    scored = anomaly_scores(df, forest, features)
+    scored = cut_lineage(anomaly_scores(df, forest, features))
     cut = exact_quantiles(scored.filter(F.col(is_train)), [], "score", {"c": contamination}).select("c").scalar()
     return scored.withColumn("anomaly", (F.col("score") < cut).cast("int"))
 
