@@ -1,7 +1,9 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tramline.operators import incremental, joins, spatial
 
@@ -47,6 +49,26 @@ def test_radius_and_nearest_match_brute_force(spark, rows, lat0, lon0, metres):
     assert {r["l"] for r in any_near.collect()} == {i for i, _ in want}
 
 
+def test_pairs_of_one_position_are_dealt_over_tasks(spark, monkeypatch):
+    """Rows that share a position, copies and nulls among them, in one partition of the left table."""
+    monkeypatch.setattr(spatial, "_PART", 32, raising=False)
+    left = spark.createDataFrame([(i % 290, 51.0, 3.0) for i in range(300)] + [(None, 51.0, 3.0), (7, None, 3.0), (8, 60.0, 3.0)], "l int, la double, lo double").coalesce(1)
+    right = spark.createDataFrame([(i, 51.0 + i % 2 * 0.001, 3.0) for i in range(200)] + [(None, 51.0, 3.0), (9, 51.0, None)], "r int, ra double, ro double")
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = spatial.within_radius(left, right, 500, ("la", "lo"), ("ra", "ro"))
+        got = pairs.select("l", "r", F.round("distance_m", 6), F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert pairs.columns == ["l", "la", "lo", "r", "ra", "ro", "distance_m"]
+    far = round(float(_haversine(51.0, 3.0, 51.001, 3.0)), 6)
+    want = Counter((a, b, far if (b or 0) % 2 else 0.0) for a in [*(i % 290 for i in range(300)), None] for b in [*range(200), None])
+    assert Counter(tuple(r)[:3] for r in got) == want
+    tasks = Counter(r[3] for r in got)
+    assert len(tasks) > 4 and max(tasks.values()) < len(got) / 2
+
+
 def test_nearest_with_copies_and_nulls(spark):
     left = spark.createDataFrame([(1, 51.0, 3.0), (2, 51.0, 3.0), (3, None, 3.0)], "l int, la double, lo double")
     right = spark.createDataFrame([(9, 51.001, 3.0), (4, 51.001, 3.0)], "r int, ra double, ro double")

@@ -133,8 +133,8 @@ def zero_filled_scaffold(t: Tables):
 def pairs_within_500m(t: Tables):
     bikes = t.customer.select("c_custkey", lat("c_custkey").alias("la"), lon("c_custkey").alias("lo"))
     rail = t.supplier.select("s_suppkey", lat("s_suppkey").alias("ra"), lon("s_suppkey").alias("ro"))
-    pairs = spatial.within_radius(bikes, rail, 500, ("la", "lo"), ("ra", "ro"))
-    return pairs.select("c_custkey", "s_suppkey", F.round("distance_m", 3).alias("distance_m"))
+    pairs = spatial.within_radius(bikes, rail, 500, ("la", "lo"), ("ra", "ro"), digits=3)
+    return pairs.select("c_custkey", "s_suppkey", "distance_m")
 
 
 @query(

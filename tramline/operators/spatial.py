@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from tramline.functions.geo import haversine_m
 
 # A little less than the length of a degree, so that cells are never too small.
 _DEGREE_M = 111_000
+# Rows of one position that meet the like number of rows near it in one group.
+_PART = 1024
 
 
 def _cos(lat_degrees: Column) -> Column:
@@ -49,11 +52,11 @@ def _reachable_cells(lat: Column, lon: Column, metres: float) -> Column:
     return F.flatten(F.transform(F.array(row - 1, row, row + 1), cells))
 
 
-def within_radius(
+def _near_spots(
     left: DataFrame, right: DataFrame, metres: float, left_xy: tuple[str, str], right_xy: tuple[str, str],
-    distance: str = "distance_m",
+    distance: str,
 ) -> DataFrame:
-    """All pairs at most ``metres`` apart (inclusive). Put the smaller table on the right."""
+    """All pairs at most ``metres`` apart (inclusive) of tables that hold each position once."""
     (la, lo), (ra, ro) = left_xy, right_xy
     a = left.filter(F.col(la).isNotNull() & F.col(lo).isNotNull()).withColumn(
         "__cell", _cell(F.col(la), F.col(lo), metres)
@@ -66,6 +69,42 @@ def within_radius(
     return pairs.withColumn(distance, apart).filter(F.col(distance) <= metres)
 
 
+def within_radius(
+    left: DataFrame, right: DataFrame, metres: float, left_xy: tuple[str, str], right_xy: tuple[str, str],
+    distance: str = "distance_m", digits: int | None = None,
+) -> DataFrame:
+    """All pairs at most ``metres`` apart (inclusive), the distance rounded to ``digits`` if given.
+
+    Distances are taken once per pair of distinct positions. The pairs of rows then come from an equality
+    join on the left position, where the rows of both sides are dealt by hash into parts of about ``_PART``:
+    each part meets each part of the other side once, so no task gets a whole position, however many rows share it.
+    """
+    (la, lo), (ra, ro) = left_xy, right_xy
+    spots = left.groupBy(F.col(la).alias("__la"), F.col(lo).alias("__lo")).agg(F.count(F.lit(1)).alias("__n"))
+    targets = right.groupBy(F.col(ra).alias("__ra"), F.col(ro).alias("__ro")).agg(F.count(F.lit(1)).alias("__m"))
+    near = _near_spots(spots, targets, metres, ("__la", "__lo"), ("__ra", "__ro"), distance)
+    if digits is not None:
+        near = near.withColumn(distance, F.round(distance, digits))
+    sized = near.groupBy("__la", "__lo").agg(
+        F.ceil(F.max("__n") / _PART).cast("int").alias("__parts"), F.ceil(F.sum("__m") / _PART).cast("int").alias("__meets")
+    )
+    here = ["__la", "__lo"]
+
+    def dealt(rows: DataFrame, parts: str) -> Column:
+        hashed = [f.name for f in rows.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+        return F.pmod(F.xxhash64(*hashed), F.col(parts)).cast("int")
+
+    def each(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+    a = left.join(sized, (F.col(la) == F.col("__la")) & (F.col(lo) == F.col("__lo")))
+    a = a.withColumn("__a", dealt(left, "__parts")).withColumn("__b", each("__meets")).drop("__parts", "__meets")
+    b = right.join(near.join(sized, here), (F.col(ra) == F.col("__ra")) & (F.col(ro) == F.col("__ro"))).drop("__ra", "__ro", "__n", "__m")
+    b = b.withColumn("__b", dealt(right, "__meets")).withColumn("__a", each("__parts")).drop("__parts", "__meets")
+    # Merged, as a broadcast would leave all pairs to the few tasks that scan the left table.
+    return a.join(b.hint("merge"), [*here, "__a", "__b"]).drop(*here, "__a", "__b")
+
+
 def nearest(
     left: DataFrame, right: DataFrame, metres: float, left_xy: tuple[str, str], right_xy: tuple[str, str],
     right_key: str, out: str = "nearest_key",
@@ -79,7 +118,7 @@ def nearest(
     targets = right.groupBy(F.col(right_xy[0]).alias("__ra"), F.col(right_xy[1]).alias("__ro")).agg(
         F.min(right_key).alias("__key")
     )
-    pairs = within_radius(spots, targets, metres, ("__la", "__lo"), ("__ra", "__ro"), "__d")
+    pairs = _near_spots(spots, targets, metres, ("__la", "__lo"), ("__ra", "__ro"), "__d")
     best = pairs.groupBy("__la", "__lo").agg(F.min_by("__key", F.struct("__d", "__key")).alias(out))
     on = (F.col(la) == F.col("__la")) & (F.col(lo) == F.col("__lo"))
     return left.join(best, on, "left").drop("__la", "__lo")
@@ -92,7 +131,7 @@ def near_any(
     la, lo = left_xy
     spots = left.select(F.col(la).alias("__la"), F.col(lo).alias("__lo")).distinct()
     targets = right.select(F.col(right_xy[0]).alias("__ra"), F.col(right_xy[1]).alias("__ro")).distinct()
-    hit = within_radius(spots, targets, metres, ("__la", "__lo"), ("__ra", "__ro")).select("__la", "__lo").distinct()
+    hit = _near_spots(spots, targets, metres, ("__la", "__lo"), ("__ra", "__ro"), "__d").select("__la", "__lo").distinct()
     return left.join(hit, (F.col(la) == F.col("__la")) & (F.col(lo) == F.col("__lo")), "left_semi")
 
 
