@@ -113,6 +113,20 @@ def test_intervals_later_rows_win(spark, rows):
     assert [r["n"] for r in days.orderBy("day").collect()] == ["a", "a", "b", "b"]
 
 
+def test_days_of_intervals_are_not_sorted(spark):
+    """Only one row per day at most is sorted: that of the winning interval. Nulls and copies keep their days."""
+    spans = spark.sql(
+        "SELECT DATE'2026-07-01' s, DATE'2026-07-03' e, 1 o, 'a' n UNION ALL SELECT DATE'2026-07-03', DATE'2026-07-04', 2, 'b' UNION ALL SELECT DATE'2026-07-03', DATE'2026-07-04', 2, 'b'"
+        " UNION ALL SELECT DATE'2026-07-06', DATE'2026-07-06', CAST(NULL AS INT), 'c' UNION ALL SELECT NULL, DATE'2026-07-09', 9, 'd' UNION ALL SELECT DATE'2026-07-08', DATE'2026-07-08', 3, NULL"
+    )
+    got = {r["day"].day: r["n"] for r in joins.on_days(spans, "s", "e", "o", "n").collect()}
+    assert got == {1: "a", 2: "a", 3: "b", 4: "b", 6: None, 8: None}
+    many = spark.range(4000, numPartitions=1).selectExpr("DATE'2026-01-01' s", "DATE'2026-03-31' e", "id o", "CAST(id AS STRING) n")
+    days = joins.on_days(many, "s", "e", "o", "n")
+    assert {r["n"] for r in days.collect()} == {"3999"}
+    assert "max_by" not in days._jdf.queryExecution().executedPlan().toString()
+
+
 def test_last_by_keeps_newest(spark, rows):
     df = spark.createDataFrame([(1, 1, "x"), (1, 2, None), (2, 1, "z")], "k int, o int, v string")
     assert rows(joins.last_by(df, ["k"], ["o"])) == [(1, 2, None), (2, 1, "z")]

@@ -73,12 +73,23 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Names, out: str = "proven
 def on_days(intervals: DataFrame, start: str, end: str, ordinal: str, label: str, day: str = "day") -> DataFrame:
     """Intervals to one labelled row per day; where they overlap the highest ordinal wins.
 
-    Turns a range join into an equality join on the day.
+    Turns a range join into an equality join on the day. The highest ordinal of each day is found first: its buffer
+    has a fixed width, so the days of all intervals are aggregated by hash and never sorted, and only the intervals
+    that win a day carry their label on.
     """
-    days = intervals.filter(F.col(start) <= F.col(end)).select(
-        F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 day"))).alias(day), label, ordinal
+
+    def days(rows: DataFrame, *columns: str) -> DataFrame:
+        kept = rows.filter(F.col(start) <= F.col(end))
+        return kept.select(F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 day"))).alias(day), *columns)
+
+    numbered = intervals.withColumn("__o", F.col(ordinal))
+    top = days(numbered, "__o").groupBy(day).agg(F.max("__o").alias("__top"))
+    winners = numbered.join(top.select(F.col("__top").alias("__o")).distinct(), "__o", "left_semi")
+    labels = days(winners.withColumn("__l", F.col(label)), "__o", "__l").join(
+        top.select(F.col(day).alias("__day"), "__top"), (F.col(day) == F.col("__day")) & (F.col("__o") == F.col("__top"))
     )
-    return days.groupBy(day).agg(F.max_by(label, ordinal).alias(label))
+    won = labels.groupBy(day).agg(F.max("__l").alias(label))
+    return top.select(day).join(won, day, "left")
 
 
 def first_by(df: DataFrame, keys: Names, order: Names, take: Names) -> DataFrame:
