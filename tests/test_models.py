@@ -175,6 +175,20 @@ def test_tree_samples_are_bounded(spark):
     assert len(sizes) == 20 and max(sizes) <= 64 and min(sizes) > 40
 
 
+def test_sweep_does_not_pass_over_tiny_partitions(spark):
+    df = spark.range(600).select("id", F.rand(5).alias("a"), (F.rand(6) + F.col("id") % 3).alias("b")).repartition(150)
+    context = spark.sparkContext
+    context.setJobGroup("sweep", "sweep")
+    try:
+        out = models.kmeans_sweep(df, ["a", "b"], range(1, 4)).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert [r["k"] for r in out] == [1, 2, 3] and out[0]["inertia"] > out[1]["inertia"] > out[2]["inertia"]
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("sweep") for s in tracker.getJobInfo(j).stageIds]
+    assert len(stages) > 20 and sum(s is not None and s.numTasks >= 150 for s in stages) <= 6
+
+
 def test_clusters_and_components(spark):
     rng = np.random.default_rng(6)
     x = np.concatenate([rng.normal(c, 0.1, (40, 2)) for c in ([0, 0], [5, 5], [0, 5])])

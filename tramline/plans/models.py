@@ -197,18 +197,29 @@ def isolation_forest(
 
 # --- clusters and components --------------------------------------------------------------
 
+_PASS_ROWS = 50_000
+
 
 def kmeans_sweep(df: DataFrame, features: Names, ks: Sequence[int] = range(1, 10), seed: int = 42) -> DataFrame:
-    """Inertia for every k and, from 2 on, the silhouette. One fit per k over a cached table."""
-    rows = _vector(df, features).select("__x", *features).cache()
-    spread = rows.agg(sum((F.var_pop(f) for f in features), F.lit(0.0)).alias("v"), F.count(F.lit(1)).alias("n")).first()
+    """Inertia for every k and, from 2 on, the silhouette. One fit per k over a cached table.
+
+    A fit is dozens of passes, so what a task costs beside its rows counts: the lineage of the table is cut, as
+    every task would carry its plan, and partitions of less than ``_PASS_ROWS`` rows are put together, down to two per
+    core. KMeans gets a projection: of a table that is not itself cached it keeps the vectors while it fits, of a
+    cached one it decodes the columns in every pass.
+    """
+    computed = _vector(df, features).select("__x", *features).cache()
+    spread = computed.agg(sum((F.var_pop(f) for f in features), F.lit(0.0)).alias("v"), F.count(F.lit(1)).alias("n")).first()
+    tasks = max(math.ceil(spread["n"] / _PASS_ROWS), 2 * df.sparkSession.sparkContext.defaultParallelism)
+    rows = cut_lineage(computed.coalesce(tasks)).cache()
+    computed.unpersist()
     found = []
     try:
         for k in ks:
             if k == 1:
                 found.append((1, float(spread["v"] * spread["n"]), None))
                 continue
-            model = KMeans(featuresCol="__x", predictionCol="cluster", k=k, seed=seed).fit(rows)
+            model = KMeans(featuresCol="__x", predictionCol="cluster", k=k, seed=seed).fit(rows.select("__x"))
             labelled = model.transform(rows)
             distinct = model.summary.k > 1 and labelled.select("cluster").distinct().limit(2).count() > 1
             silhouette = ClusteringEvaluator(featuresCol="__x", predictionCol="cluster").evaluate(labelled) if distinct else None
