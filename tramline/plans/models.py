@@ -211,7 +211,9 @@ def kmeans_sweep(df: DataFrame, features: Names, ks: Sequence[int] = range(1, 10
     computed = _vector(df, features).select("__x", *features).cache()
     spread = computed.agg(sum((F.var_pop(f) for f in features), F.lit(0.0)).alias("v"), F.count(F.lit(1)).alias("n")).first()
     tasks = max(math.ceil(spread["n"] / _PASS_ROWS), 2 * df.sparkSession.sparkContext.defaultParallelism)
-    rows = cut_lineage(computed.coalesce(tasks)).cache()
+    # coalesce() may change the order of partitions even where it joins none, and the starting centres are drawn by partition.
+    packed = computed.coalesce(tasks) if computed.rdd.getNumPartitions() > tasks else computed
+    rows = cut_lineage(packed).cache()
     computed.unpersist()
     found = []
     try:
